@@ -122,7 +122,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     pairs = stage(near_intervals(held_in, eps, d, depth), "pairs")
     points = [f"p{k}" for k in range(d)]
     left = pairs.join(held_in.select(F.col("interval").alias("a"), "id", "n", "v", *points), "a")
-    right = pairs.filter("a < b").select(F.col("a").alias("u"), F.col("b").alias("w")).join(held_in.select(F.col("interval").alias("w"), "id", "n", "v", *points), "w")
+    renamed = held_in.select(F.col("interval").alias("w"), *(F.col(c).alias(c) for c in ("id", "n", "v", *points)))
+    right = pairs.filter("a < b").select(F.col("a").alias("u"), F.col("b").alias("w")).join(renamed, "w")
 
     def joined(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         same = key[0] == key[1]
