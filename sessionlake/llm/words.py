@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
 
-#: Words up to this length are remembered, and this many of them in a task.
-REMEMBERED_CHARS, REMEMBERED_WORDS = 48, 200_000
+#: Words up to this length are remembered: so many that came twice, and so many that came once of late.
+REMEMBERED_CHARS, REMEMBERED_WORDS, RECENT_WORDS = 48, 400_000, 100_000
+
+
+#: The pre-tokens of the word tokenizer in lowered Latin-1 text, with Latin-1's letters and numerals.
+LATIN_PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def default_tokenizer() -> str:
@@ -20,7 +27,9 @@ class WordEncoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text is encoded space by space and line by line;
-    the ids of frequent words are remembered. The result is that of encoding the text at once.
+    a Latin-1 text pre-token by pre-token where the tokenizer lowers and splits as LATIN_PATTERN does. Frequent words
+    are remembered; new ones are encoded together, a special token between them. The result is that of encoding the
+    text at once.
     """
 
     def __init__(self, path: str):
@@ -28,30 +37,59 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {"": b""}
-
-    def _raw(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.mark_id, self.mark = special[0] if special else (None, None)
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        splits = [x.get("pattern", {}).get("Regex") for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        self.latin = kinds == ["NFC", "Replace", "Lowercase"] and splits == [LATIN_PATTERN]
+        self.known: dict[str, bytes] = {"": b""}
+        self.recent: dict[str, bytes] = {}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        joined = f"\n{self.mark}\n".join(words)
+        if self.mark is None or any(joined.count(m) != (len(words) - 1) * (m == self.mark) for m in self.marks):
+            return dict(zip(words, self._each(words), strict=True))
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == self.mark_id).tolist()
+        raw = ids.tobytes()
+        return {w: raw[4 * a : 4 * b] for w, a, b in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True)}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.replace("\n", " ").split(" ")
-        seen = self.seen
-        try:
-            return b"".join([seen[w] for w in words])
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in seen})
-        short = [w for w in new if len(w) <= REMEMBERED_CHARS]
-        own = dict(zip(new, self._raw(new), strict=True)) if len(short) < len(new) else dict(zip(short, self._raw(short), strict=True))
-        if len(seen) + len(short) > REMEMBERED_WORDS:
-            seen.clear()
-            seen[""] = b""
-        out = b"".join([own[w] if w in own else seen[w] if w in seen else self._raw([w])[0] for w in words])
-        for w in short:
-            seen[w] = own[w]
-        return out
+        words = None
+        if self.latin and not any(m in text for m in self.marks):
+            try:
+                text.encode("latin-1")
+                words = LATIN_PRE_TOKENS.findall(text.lower())
+            except UnicodeEncodeError:
+                pass
+        if words is None:
+            words = text.replace("\n", " ").split(" ")
+        out = list(map(self.known.get, words))
+        if None in out:
+            recent = self.recent
+            missing = [k for k, x in enumerate(out) if x is None]
+            seen = {words[k] for k in missing}
+            unknown = [w for w in seen if w not in recent]
+            new = self._new(unknown) if unknown else {}
+            for k in missing:
+                w = words[k]
+                out[k] = new[w] if w in new else recent[w]
+            if len(self.known) > REMEMBERED_WORDS:
+                self.known = {"": b""}
+            for w in seen:
+                if w not in new:
+                    self.known[w] = recent.pop(w)
+            if len(recent) > RECENT_WORDS:
+                recent.clear()
+            recent.update((w, x) for w, x in new.items() if len(w) <= REMEMBERED_CHARS)
+        return b"".join(out)
 
 
 _encoders: dict[str, WordEncoder] = {}
