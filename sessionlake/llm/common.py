@@ -53,35 +53,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (id, component), component the smallest id reached.
 
-    Alternates large-star and small-star steps until the edges stay the same. Minima are grouped with partial
-    aggregation and joined back, so a node with very many links is split by adaptive skew joins rather than gathered.
-    Ids that stand in no edge aren't returned; self links, nulls and repeated rows are ignored.
+    Alternates large-star and small-star steps until every component is a star around its smallest id, which the links
+    up and down that are counted with the minima tell. Minima are grouped with partial aggregation and joined back, so a
+    node with very many links is split by adaptive skew joins rather than gathered. Ids that stand in no edge aren't
+    returned; self links, nulls and repeated rows are ignored.
     """
     now = stage(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges"
     )
-    mark = None
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _star(both).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = _star(large)
-        joined = large.join(least, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.col("v") < F.col("u")).alias("down"), F.count_if(F.col("v") > F.col("u")).alias("up")), "least")
+        if least.filter("down > 1 or down = 1 and up > 0").isEmpty():
+            drop_staged(least)
+            break
+        large = both.join(least.select("u", F.least("u", "m").alias("m")), "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = large.groupBy("u").agg(F.min("v").alias("m"))
+        joined = large.join(near, "u")
+        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(near.select("u", F.col("m").alias("v"))).distinct()
         after = stage(small, "edges")
-        new = after.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        drop_staged(now)
+        drop_staged(now, least)
         now = after
-        if mark == tuple(new):
-            break
-        mark = tuple(new)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
