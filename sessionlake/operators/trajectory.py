@@ -63,5 +63,5 @@ def monotonic_clock(rows: DataFrame, by: str, order: str) -> DataFrame:
 
 def densify(rows: DataFrame, by: str, order: str, step: int) -> DataFrame:
     """Grid times between consecutive rows, `step` apart, each with the row they follow."""
-    end = F.lead(order).over(Window.partitionBy(by).orderBy(order))
-    return rows.withColumn("grid_t", F.explode(F.sequence(F.col(order), F.greatest(F.col(order), F.coalesce(end - 1, F.col(order))), F.lit(step).cast("long"))))
+    rows = rows.withColumn("_end", F.coalesce(F.lead(order).over(Window.partitionBy(by).orderBy(order)) - 1, F.col(order)))
+    return rows.withColumn("grid_t", F.explode(F.sequence(F.col(order), F.greatest(F.col(order), F.col("_end")), F.lit(step).cast("long")))).drop("_end")

@@ -1,6 +1,6 @@
 """The queries over the driver's tables."""
 
-from sessionlake.plans import health, sync  # noqa: F401
+from sessionlake.plans import health, sessions, sync  # noqa: F401
 from sessionlake.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -14,3 +15,9 @@ def ensure_importable(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if here not in paths:
         env["PYTHONPATH"] = ":".join([*paths, here])
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    return found.rstrip("/") if found else "file://" + tempfile.mkdtemp(prefix="sessionlake-")
