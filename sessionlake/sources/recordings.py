@@ -32,7 +32,13 @@ def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFram
     """path, header and n_rows of every CSV file, those without rows too; an empty file has an empty header."""
     whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "")
-    return whole.select(F.col("_metadata.file_path").alias("path"), F.coalesce(F.split(F.get(lines, F.lit(0)), ","), F.array().cast("array<string>")).alias("header"), F.greatest(F.lit(0), F.size(lines) - 1).alias("n_rows"))
+
+    def plain(c: str) -> Column:  # the two readers write local paths with one slash or three
+        return F.regexp_replace(c, "^file:/+", "file:/")
+
+    read = whole.select(plain("_metadata.file_path").alias("path"), F.split(F.get(lines, F.lit(0)), ",").alias("header"), F.size(lines).alias("n"))
+    files = listing(spark, path, glob).select(plain("path").alias("path"))  # reading whole texts passes over empty files
+    return files.join(read, "path", "left").select("path", F.coalesce("header", F.array().cast("array<string>")).alias("header"), F.greatest(F.lit(0), F.coalesce("n", F.lit(0)) - 1).alias("n_rows"))
 
 
 def timestamp_column(header: Column, preferred: list[str], fallback: str | None = None) -> Column:
