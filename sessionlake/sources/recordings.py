@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,9 @@ def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFram
     whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: F.trim(x) != "")
 
-    def plain(c: str) -> Column:  # the two readers write local paths with one slash or three
-        return F.regexp_replace(c, "^file:/+", "file:/")
-
-    read = whole.select(plain("_metadata.file_path").alias("path"), F.split(F.get(lines, F.lit(0)), ",").alias("header"), F.size(lines).alias("n"))
-    files = listing(spark, path, glob).select(plain("path").alias("path"))  # reading whole texts passes over empty files
-    return files.join(read, "path", "left").select("path", F.coalesce("header", F.array().cast("array<string>")).alias("header"), F.greatest(F.lit(0), F.coalesce("n", F.lit(0)) - 1).alias("n_rows"))
+    read = whole.select(F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path"), F.split(F.get(lines, F.lit(0)), ",").alias("header"), F.size(lines).alias("n"))
+    files = listing(spark, path, glob)  # reading whole texts passes over empty files
+    return files.select("path").join(read, "path", "left").select("path", F.coalesce("header", F.array().cast("array<string>")).alias("header"), F.greatest(F.lit(0), F.coalesce("n", F.lit(0)) - 1).alias("n_rows"))
 
 
 def timestamp_column(header: Column, preferred: list[str], fallback: str | None = None) -> Column:
@@ -62,9 +60,34 @@ def timestamps(cells: DataFrame, preferred: list[str], fallback: str | None = No
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """path, length and session of files; contents are never read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", "length", F.regexp_extract("path", SESSION, 2).alias("session"), F.regexp_extract("path", SESSION, 1).alias("root"))
+    """path (without the scheme), length, session and root of files, empty ones too; contents are never read.
+
+    The folders right below the path are dealt to tasks, each of which lists its own; Spark's file readers would pass
+    over files without bytes.
+    """
+
+    def listed(recursive: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            from pyarrow import fs
+
+            for batch in batches:
+                for place, folder, size in zip(batch["path"], batch["folder"], batch["length"], strict=True):
+                    if not folder:
+                        yield pd.DataFrame({"path": [place], "folder": [False], "length": [size]})
+                        continue
+                    store, inner = fs.FileSystem.from_uri(place)
+                    found = store.get_file_info(fs.FileSelector(inner, recursive=recursive))
+                    scheme = place[: len(place) - len(inner)]
+                    yield pd.DataFrame({"path": [scheme + f.path for f in found], "folder": [f.type == fs.FileType.Directory for f in found], "length": [f.size or 0 for f in found]})
+
+        return run
+
+    kind = "path string, folder boolean, length long"
+    top = spark.createDataFrame([(path, True, 0)], kind).mapInPandas(listed(False), kind)
+    files = top.repartition("path").mapInPandas(listed(True), kind).filter("not folder").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    like = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in glob)
+    return files.filter(name.rlike(f"^{like}$")).select("path", "length", F.regexp_extract("path", SESSION, 2).alias("session"), F.regexp_extract("path", SESSION, 1).alias("root"))
 
 
 def discover(files: DataFrame) -> DataFrame:
