@@ -113,7 +113,7 @@ def test_recordings(spark, tmp_path):
     assert sorted((r["n_rows"], r["path"].rsplit("/", 1)[1]) for r in recordings.csv_headers(spark, base).collect()) == [(0, "empty.csv"), (1, "gripper.csv"), (3, "robot.csv")]
     files = recordings.listing(spark, base)
     found = recordings.discover(files).first()
-    assert (found["session"], found["data_format"], found["zero_size"], found["date"]) == ("session_20260615_101500", "dual_realsense", 1, "20260615")
+    assert (found["session"], found["data_format"], found["zero_size"], found["date"]) == ("session_20260615_101500", "dual_realsense", 2, "20260615")
     assert recordings.image_stems(files).count() == 3
     meta = {r["path"].rsplit("/", 1)[1]: (r["value"] and r["value"]["fps"], r["bad"]) for r in recordings.read_json(spark, base, "fps int").collect()}
     assert meta["meta.json"] == (30, False) and meta["broken.json"][1]
