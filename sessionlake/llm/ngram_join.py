@@ -17,6 +17,8 @@ from sessionlake.llm.shingles import mix, shingler
 
 #: Documents and shingles of a tile, the part of a group that one task opens, and rows that may be broadcast.
 TILE_ROWS, TILE_TOKENS, BROADCAST_ROWS = 256, 200_000, 300_000
+#: Parts of fewer elements than this, on average, are often empty; so many parts that differences can't hit all of them.
+FEW_ELEMENTS, MANY = 6, 24
 
 
 @lru_cache
@@ -39,19 +41,32 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the parts of a set, for its own band and the one below.
 
     The hash space is cut into as many parts as the band has. Sets that differ in fewer elements than there are parts
-    have a part in common, so similar sets share a signature. Bands where only equal sets qualify give none.
+    have a part in common, so similar sets share a signature. Bands where only equal sets qualify give none. Where parts
+    hold few elements, many are empty, and unlike sets would share those: with MANY parts or more an empty part gives no
+    signature (differences would have to hit each of the others, a chance below 1 in 10^8); with fewer, half as many
+    parts are made, one of which differs in one element at most, and parts without any one element are hashed as well.
     """
     starts, parts = bands(1 << max(10, int(len(tokens)).bit_length()), percent)
     own = int(np.searchsorted(starts, len(tokens), "right")) - 1
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens), dtype=np.uint64)])
+    mixed = mix(tokens)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     out = []
     for band in (own, own - 1):
         if band >= 0 and (m := int(parts[band])) > 1:
+            sparse = int(starts[band]) < FEW_ELEMENTS * m
+            less_one = sparse and m < MANY
+            m = (m + 1) // 2 if less_one else m
             part = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
             ends = np.searchsorted(part, np.arange(m + 1, dtype=np.uint64))
-            sums = total[ends[1:]] - total[ends[:-1]]
-            out.append(mix(sums ^ mix(np.uint64(band * 1_000_003) + np.arange(m, dtype=np.uint64))))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+            sums, names = total[ends[1:]] - total[ends[:-1]], mix(np.uint64(band * 1_000_003) + np.arange(m, dtype=np.uint64))
+            if less_one:
+                at = part.astype("i8")
+                sums, names = np.concatenate([sums, sums[at] - mixed]), np.concatenate([names, names[at]])
+            elif sparse:
+                full = ends[1:] > ends[:-1]
+                sums, names = sums[full], names[full]
+            out.append(mix(sums ^ names))
+    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
