@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import extended, stage
+from sessionlake.llm.common import extended, slices, stage
 
 #: Characters of a chunk, characters that it reads on into the next one, and pieces that a task remembers.
 CHUNK, OVERLAP, REMEMBERED = 16_384, 512, 200_000
@@ -30,6 +30,16 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def token_bytes(ranks: str) -> list[bytes | None]:
+    """The bytes of each token at its rank; None at ranks that the vocabulary leaves free."""
+    with open(ranks, "rb") as f:
+        found = [(int(rank), base64.b64decode(token)) for token, rank in map(bytes.split, f)]
+    table: list[bytes | None] = [None] * (max(found)[0] + 1)
+    for rank, token in found:
+        table[rank] = token
+    return table
+
+
 class PieceEncoder:
     """Encodes pre-tokens one by one with the ranks of a public vocabulary; remembers frequent ones."""
 
@@ -37,11 +47,8 @@ class PieceEncoder:
         import regex
         import tiktoken
 
-        with open(ranks, "rb") as f:
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bpe = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.bpe = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={b: i for i, b in enumerate(token_bytes(ranks)) if b is not None}, special_tokens={})
         self.match = regex.compile(pattern)
-        self.bytes_of = {i: b for b, i in table.items()}
         self.seen: dict[str, tuple[int, ...]] = {}
 
     def _new(self, piece: str) -> tuple[int, ...]:
@@ -59,9 +66,6 @@ class PieceEncoder:
         except KeyError:
             return list(chain.from_iterable([seen[p] if p in seen else self._new(p) for p in pieces]))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
 
@@ -90,7 +94,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             heads, tails = [], []
             for n, part, text in zip(*(batch.column(c).to_pylist() for c in ("n", "part", "text")), strict=True):
                 at = [m.end() for m in enc.match.finditer(text)]
@@ -120,7 +124,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = []
             for n, text in zip(batch.column("n").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 pieces = enc.match.findall(text) if n == len(text) else [m[0] for m in takewhile(lambda m, n=n: m.start() < n, enc.match.finditer(text))]
@@ -131,7 +135,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
     done = parts.mapInArrow(encoded, schema).groupBy("doc_id", "key").agg(F.count_if(F.col("part") == 0).alias("rows"), F.array_sort(F.collect_set(F.struct("part", "n_tokens", "ids"))).alias("parts"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             docs, counts, ids = [], [], []
             for doc, times, parts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rows", "parts")), strict=True):
                 for _ in range(times):
@@ -145,26 +149,28 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
     return at_once.select("doc_id", "n_tokens", "ids").union(done.mapInArrow(joined, out))
 
 
-def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
-    """Raw bytes of encode()'s rows, its columns and decoded; null ids decode to null."""
-    ranks, pattern = ranks or default_ranks(), default_pattern()
+def with_decoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
+    """Arrow batches with ids, and their raw bytes as a further column."""
+    of = token_bytes(ranks).__getitem__
+    for batch in slices(batches):
+        raw = [None if x is None else b"".join(map(of, np.frombuffer(x, "<u4").tolist())) for x in batch.column("ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, "decoded"])
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks, pattern)
-        for batch in batches:
-            raw = [None if x is None else enc.decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(decoded, extended(encoded, "decoded binary"))
+def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
+    """Raw bytes of encode()'s rows, its columns and decoded; null ids decode to null."""
+    path = ranks or default_ranks()
+    return encoded.mapInArrow(lambda batches: with_decoded(batches, path), extended(encoded, "decoded binary"))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """Per row of encode(): doc_id, n_tokens, the SHA-256 of the decimal ids and of the decoded bytes."""
+def digests(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
+    """Per row of encode(): doc_id, n_tokens, the SHA-256 of the decimal ids and of the decoded bytes, in one pass."""
+    path = ranks or default_ranks()
 
-    def decimal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in with_decoded(batches, path):
             ids = [hashlib.sha256(" ".join(map(str, np.frombuffer(x, "<u4").tolist())).encode()).hexdigest() for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.string()), batch.column("decoded")], ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+            raw = [hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.string()), pa.array(raw, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    out = decode(encoded).mapInArrow(decimal, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
-    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,6 +46,13 @@ def extended(df: DataFrame, more: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so what a task makes of a batch in Python stays small; nothing is copied."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; 0 is the held-out fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
