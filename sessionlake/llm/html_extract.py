@@ -20,6 +20,10 @@ MIN_PAGES = 5
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp template svg math object".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Elements whose headers may hold a title.
+TOPS = ("article", "main")
+#: Hashes of templates that may be broadcast, 8 bytes each, and parts that the pages of a host are dealt over otherwise.
+BROADCAST_ROWS, SALTS = 1_000_000, 32
 #: Elements and words in class, id or role that are no main text.
 DROPPED = frozenset("nav aside footer form script style noscript iframe template svg math object button select textarea input menu dialog head title canvas audio video".split())
 WORDS = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|consent|contentinfo|cookie|cookies|disqus|footer|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
@@ -114,23 +118,8 @@ def furniture(node: Node, inside: bool) -> bool:
     return bool(node.attrs) and node.tag not in ("html", "body", "article", "main") and any(WORDS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(node.attrs))
 
 
-def contents(root: Node) -> list[Node]:
-    """Where the main text is: the article elements, or else main, or else the whole page."""
-    for tag in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            now = todo.pop()
-            if now.tag == tag:
-                found.append(now)
-            elif not furniture(now, False):
-                todo += [p for p in reversed(now.parts) if isinstance(p, Node)]
-        if found:
-            return found
-    return [root]
-
-
-def blocks(node: Node, template: frozenset[int], inside: bool) -> list[str]:
-    """Texts of the blocks in page order, without furniture and, outside articles, without the site's template."""
+def blocks(node: Node, template: frozenset[int]) -> list[str]:
+    """Texts of the blocks in page order, without furniture and without the site's template."""
     out: list[str] = []
     text: list[str] = []
 
@@ -140,13 +129,13 @@ def blocks(node: Node, template: frozenset[int], inside: bool) -> list[str]:
             out.append(line)
         text.clear()
 
-    todo: list = [(node, iter(node.parts))]
+    todo: list = [(node, iter(node.parts), node.tag in TOPS)]
     while todo:
-        now, rest = todo[-1]
+        now, rest, inside = todo[-1]
         for part in rest:
             if not isinstance(part, Node):
                 text.append(part)
-            elif furniture(part, inside) or not inside and part.hash in template:
+            elif furniture(part, inside) or part.hash in template:
                 if part.tag in BLOCKS:
                     flush()
             elif part.tag == "br":
@@ -154,7 +143,7 @@ def blocks(node: Node, template: frozenset[int], inside: bool) -> list[str]:
             else:
                 if part.tag in BLOCKS:
                     flush()
-                todo.append((part, iter(part.parts)))
+                todo.append((part, iter(part.parts), inside or part.tag in TOPS))
                 break
         else:
             todo.pop()
@@ -166,20 +155,42 @@ def blocks(node: Node, template: frozenset[int], inside: bool) -> list[str]:
 
 def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
     root = parse(source)
-    found = contents(root)
-    inside = found[0] is not root
-    if template and not inside:
+    if template:
         hashed(root)
-    return "\n".join(line for node in found for line in blocks(node, template, inside))
+    return "\n".join(blocks(root, template))
+
+
+def kept(root: Node) -> Iterator[Node]:
+    """The elements that blocks() comes to when there is no template."""
+    todo = [(root, False)]
+    while todo:
+        now, inside = todo.pop()
+        yield now
+        inside = inside or now.tag in TOPS
+        todo += [(p, inside) for p in now.parts if isinstance(p, Node) and not furniture(p, inside)]
+
+
+def size(node: Node) -> int:
+    return sum(map(len, blocks(node, frozenset())))
 
 
-def subtrees(source: str) -> set[int]:
-    """Hashes of the element subtrees that may be template: outside articles, with some contents."""
+def subtrees(source: str) -> tuple[int, set[int]]:
+    """Hash of what the page has of its own, and hashes of the element subtrees that may be template: with some contents, no furniture.
+
+    Its own are its articles (or main elements), if they hold half of its text, so one article among changing adverts is
+    one content, while pages that only share a teaser are many; else all of it.
+    """
     root = parse(source)
     hashed(root)
-    found = contents(root)
-    skip = set() if found[0] is root else {id(n) for top in found for n in walk(top)}
-    return {n.hash for n in walk(root) if id(n) not in skip and n.tag not in ("", "html", "body", "head", "br", "hr") and n.parts}
+    found = list(kept(root))
+    whole, tops = size(root), [root]
+    for tag in TOPS:
+        these = [n for n in found if n.tag == tag]
+        if whole and 2 * sum(map(size, these)) >= whole:
+            tops = these
+            break
+    own = xxhash.xxh3_64_intdigest(",".join(str(n.hash) for n in tops)) - (1 << 63)
+    return own, {n.hash for n in found if n.tag not in ("", "html", "body", "head", "br", "hr", *TOPS) and n.parts}
 
 
 def host(url: Column) -> Column:
@@ -187,37 +198,44 @@ def host(url: Column) -> Column:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page_hash, subtree), once for each content of a page, staged."""
+    """(host, content, subtree), once for each content of a page, and with a null subtree for the content itself; staged."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, keys, trees = [], [], []
-            for h, key, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page_hash", "html")), strict=True):
-                own = subtrees(source) if source else set()
-                hosts += [h] * len(own)
-                keys += [key] * len(own)
-                trees += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(trees, pa.int64())], ["host", "page_hash", "subtree"])
-
-    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("page_hash"), "html").mapInArrow(found, "host string, page_hash long, subtree long")
+            for h, source in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
+                content, own = subtrees(source) if source else (0, set())
+                hosts += [h] * (len(own) + 1)
+                keys += [content] * (len(own) + 1)
+                trees += [None, *own]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(trees, pa.int64())], ["host", "content", "subtree"])
+
+    rows = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(found, "host string, content long, subtree long")
     return stage(rows.distinct(), "subtrees")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text (main text; empty if none) for every row.
 
-    1. Per page the hashes of its element subtrees; 2. counted per host; 3. subtrees on at least min_pages pages of the
-    host are its template and are deleted. What an article (or main) element holds is main text and no template, even
-    if other pages repeat it; there, as elsewhere, menus, forms, adverts, comments and the like go by their kind.
+    1. Per page the hashes of its element subtrees; 2. counted per host; 3. subtrees on at least min_pages pages of
+    unlike contents of the host are its template and are deleted, in articles and main elements as elsewhere; pages with
+    one article in other surroundings are one content. What lies outside an article stays unless it is template or goes
+    by its kind, as menus, forms, adverts, comments and the like do.
     Character references are decoded, white space in a block becomes one space, blocks are joined by line ends. A null
     or empty html gives an empty text; a null url is a host of its own; repeated rows give repeated rows; other columns
     are left out; an empty table gives no row.
     """
     pages = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
     seen = page_subtrees(pages)
-    counted = seen.groupBy("host", "subtree").count().filter(F.col("count") >= min_pages).select("host", "subtree")
-    own = seen.join(counted, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_list("subtree").alias("template"))
-    keyed = pages.withColumn("host", host(F.col("url"))).withColumn("page_hash", F.xxhash64("html")).join(own, ["host", "page_hash"], "left")
+    counted = seen.filter("subtree is not null").groupBy("host", "subtree").count().filter(F.col("count") >= min_pages).select("host", "subtree")
+    templates = stage(counted.groupBy("host").agg(F.collect_list("subtree").alias("template"), F.count("*").alias("size")), "templates")
+    rows = templates.agg(F.coalesce(F.sum(F.col("size") + 10), F.lit(0))).first()[0]
+    keyed = pages.withColumn("host", host(F.col("url")))
+    if rows <= BROADCAST_ROWS:
+        keyed = keyed.join(F.broadcast(templates), "host", "left")
+    else:  # a host of very many pages is dealt over many tasks
+        spread = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

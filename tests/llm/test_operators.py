@@ -210,3 +210,23 @@ def test_pipeline(spark):
     assert {"doc_id", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
     whole = rows.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
     assert whole.filter("n <> end or n > 2048").count() == 0
+
+
+def texts_of(spark, html, url="http://a.example/x"):
+    rows = [(k, url, h) for k, h in enumerate(html)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_template_inside_articles_and_text_outside(spark, monkeypatch):
+    box = "<div><p>Ann writes for us</p></div>"
+    html = [f"<body><p>Lead {k}</p><article><h1>Title {k}</h1><p>Text {k}</p>{box}</article><div>Rest {k}</div></body>" for k in range(6)]
+    want = [f"Lead {k}\nTitle {k}\nText {k}\nRest {k}" for k in range(6)]
+    assert texts_of(spark, html) == want
+    monkeypatch.setattr(html_extract, "BROADCAST_ROWS", -1)
+    assert texts_of(spark, html) == want
+    same = [f"<body><div class='ad'>Advert {k}</div><article><p>One article</p></article></body>" for k in range(6)]
+    assert texts_of(spark, same) == ["One article"] * 6
+    teaser = "<article><p>Read this too</p></article>"
+    shared = [f"<body><p>Long text of the page {k}</p>{teaser}{box}</body>" for k in range(6)]
+    assert texts_of(spark, shared) == [f"Long text of the page {k}" for k in range(6)]
