@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sessionlake.llm.common import extended, stage
 
-#: Pages of a host, of unlike contents, that share a subtree at least for it to be the site's template.
-MIN_PAGES = 5
+#: Pages of a host, of unlike contents, and their share of the host's, that have a subtree at least for it to be the site's template.
+MIN_PAGES, MIN_SHARE = 5, 0.3
 #: Fixed values of HTML: elements without an end tag; with raw text; that begin a new block; that end an open p.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp template svg math object".split())
@@ -175,7 +175,7 @@ def size(node: Node) -> int:
 
 
 def subtrees(source: str) -> tuple[int, set[int]]:
-    """Hash of what the page has of its own, and hashes of the element subtrees that may be template: with some contents, no furniture.
+    """Hash of what the page has of its own, and hashes of the subtrees that may be template: blocks with some contents, no furniture.
 
     Its own are its articles (or main elements), if they hold half of its text, so one article among changing adverts is
     one content, while pages that only share a teaser are many; else all of it.
@@ -190,7 +190,7 @@ def subtrees(source: str) -> tuple[int, set[int]]:
             tops = these
             break
     own = xxhash.xxh3_64_intdigest(",".join(str(n.hash) for n in tops)) - (1 << 63)
-    return own, {n.hash for n in found if n.tag not in ("", "html", "body", "head", "br", "hr", *TOPS) and n.parts}
+    return own, {n.hash for n in found if n.tag in BLOCKS and n.tag not in ("html", "body", "hr", *TOPS) and n.parts}
 
 
 def host(url: Column) -> Column:
@@ -214,11 +214,11 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
     return stage(rows.distinct(), "subtrees")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text (main text; empty if none) for every row.
 
-    1. Per page the hashes of its element subtrees; 2. counted per host; 3. subtrees on at least min_pages pages of
-    unlike contents of the host are its template and are deleted, in articles and main elements as elsewhere; pages with
+    1. Per page the hashes of its block subtrees; 2. counted per host; 3. subtrees on at least min_pages pages of
+    unlike contents of the host, and on at least min_share of all such, are its template and are deleted, in articles and main elements as elsewhere; pages with
     one article in other surroundings are one content. What lies outside an article stays unless it is template or goes
     by its kind, as menus, forms, adverts, comments and the like do.
     Character references are decoded, white space in a block becomes one space, blocks are joined by line ends. A null
@@ -227,7 +227,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """
     pages = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
     seen = page_subtrees(pages)
-    counted = seen.filter("subtree is not null").groupBy("host", "subtree").count().filter(F.col("count") >= min_pages).select("host", "subtree")
+    counted = seen.filter("subtree is not null").groupBy("host", "subtree").count().filter(F.col("count") >= min_pages)
+    total = seen.filter("subtree is null").groupBy("host").agg(F.count("*").alias("pages"))
+    counted = counted.join(total, "host").filter(F.col("count") >= F.col("pages") * min_share)
     templates = stage(counted.groupBy("host").agg(F.collect_list("subtree").alias("template"), F.count("*").alias("size")), "templates")
     rows = templates.agg(F.coalesce(F.sum(F.col("size") + 10), F.lit(0))).first()[0]
     keyed = pages.withColumn("host", host(F.col("url")))

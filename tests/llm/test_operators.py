@@ -230,3 +230,9 @@ def test_template_inside_articles_and_text_outside(spark, monkeypatch):
     teaser = "<article><p>Read this too</p></article>"
     shared = [f"<body><p>Long text of the page {k}</p>{teaser}{box}</body>" for k in range(6)]
     assert texts_of(spark, shared) == [f"Long text of the page {k}" for k in range(6)]
+
+
+def test_text_on_few_pages_of_a_host_stays(spark):
+    notice = "<p>The office is shut on Mondays</p>"
+    html = [f"<body><div>Site box</div><p>Text {k} <b>in short</b> goes on</p>{notice if k < 6 else ''}</body>" for k in range(40)]
+    assert texts_of(spark, html) == [f"Text {k} in short goes on" + ("\nThe office is shut on Mondays" if k < 6 else "") for k in range(40)]
