@@ -26,8 +26,14 @@ TOPS = ("article", "main")
 BROADCAST_ROWS, SALTS = 1_000_000, 32
 #: Elements and words in class, id or role that are no main text.
 DROPPED = frozenset("nav aside footer form script style noscript iframe template svg math object button select textarea input menu dialog head title canvas audio video".split())
-WORDS = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|consent|contentinfo|cookie|cookies|disqus|footer|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer menu modal nav navbar navigation newsletter notice popup promo related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Words that may stand beside those in one name and say where or in what shape it is; with another word, a name means something else.
+BESIDE = frozenset("main site page top bottom left right primary secondary global header inner outer wrapper wrap container box bar block area section list item items body panel pane slot unit link links button buttons icons media post posts form mobile desktop sticky fixed".split())
+NAME = re.compile(r"[_-]+")
+#: Dropped elements that never hold the main text, and those that do only if they hold the articles.
+EMPTY = RAW | frozenset("script style noscript head title canvas audio video button select menu dialog".split())
+MENUS = frozenset("nav aside footer".split())
+ATTRIBUTE = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(r"""<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+\Z""", re.S)
 SPACE = re.compile(r"\s+")
 
@@ -103,22 +109,50 @@ def hashed(node: Node) -> int:
     return node.hash
 
 
-def walk(node: Node) -> Iterator[Node]:
-    todo = [node]
-    while todo:
-        now = todo.pop()
-        yield now
-        todo += [p for p in reversed(now.parts) if isinstance(p, Node)]
-
-
-def furniture(node: Node, inside: bool) -> bool:
-    """Is it by its kind no main text? A header that belongs to an article may hold its title."""
-    if node.tag in DROPPED or node.tag == "header" and not inside:
-        return True
-    return bool(node.attrs) and node.tag not in ("html", "body", "article", "main") and any(WORDS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(node.attrs))
+def named(name: str) -> bool:
+    """Is a class, id or role a furniture word, alone or only with words that go with it?"""
+    parts = [p for p in NAME.split(name.lower()) if p and not p.isdigit()]
+    return any(p in WORDS for p in parts) and all(p in WORDS or p in BESIDE for p in parts)
 
 
-def blocks(node: Node, template: frozenset[int]) -> list[str]:
+def length(node: Node, without: frozenset[str] = EMPTY, within: tuple[str, ...] = ()) -> int:
+    """Characters in the subtree, not counting those in elements `without`; with `within`, only those in such elements."""
+    n, todo = 0, [(node, not within or node.tag in within)]
+    while todo:
+        now, counts = todo.pop()
+        for p in now.parts:
+            if not isinstance(p, Node):
+                n += len("".join(p.split())) if counts else 0
+            elif p.tag not in without:
+                todo.append((p, counts or p.tag in within))
+    return n
+
+
+class Page:
+    """A parsed page that tells which elements are by their kind no main text."""
+
+    def __init__(self, source: str):
+        self.root = parse(source)
+        self.articles = length(self.root, within=TOPS)
+        self.whole = 0 if self.articles else length(self.root, EMPTY | MENUS)
+
+    def furniture(self, node: Node, inside: bool) -> bool:
+        """A header that belongs to an article may hold its title. What holds most of the page's text isn't furniture.
+
+        That is text in articles and main elements, if it has such, or else text outside menus; a menu, aside or footer
+        goes then, whatever its length.
+        """
+        if node.tag in DROPPED or node.tag == "header" and not inside:
+            if node.tag in EMPTY:
+                return True
+        elif not node.attrs or node.tag in ("html", "body", *TOPS) or not any(named(n) for a, b, c in ATTRIBUTE.findall(node.attrs) for n in (a or b or c).split()):
+            return False
+        if self.articles:
+            return 2 * length(node, within=() if inside else TOPS) <= self.articles
+        return node.tag in MENUS or 2 * length(node, EMPTY | MENUS) <= self.whole
+
+
+def blocks(page: Page, node: Node, template: frozenset[int]) -> list[str]:
     """Texts of the blocks in page order, without furniture and without the site's template."""
     out: list[str] = []
     text: list[str] = []
@@ -135,7 +169,7 @@ def blocks(node: Node, template: frozenset[int]) -> list[str]:
         for part in rest:
             if not isinstance(part, Node):
                 text.append(part)
-            elif furniture(part, inside) or part.hash in template:
+            elif page.furniture(part, inside) or part.hash in template:
                 if part.tag in BLOCKS:
                     flush()
             elif part.tag == "br":
@@ -154,24 +188,20 @@ def blocks(node: Node, template: frozenset[int]) -> list[str]:
 
 
 def main_text(source: str, template: frozenset[int] = frozenset()) -> str:
-    root = parse(source)
+    page = Page(source)
     if template:
-        hashed(root)
-    return "\n".join(blocks(root, template))
+        hashed(page.root)
+    return "\n".join(blocks(page, page.root, template))
 
 
-def kept(root: Node) -> Iterator[Node]:
+def kept(page: Page) -> Iterator[Node]:
     """The elements that blocks() comes to when there is no template."""
-    todo = [(root, False)]
+    todo = [(page.root, False)]
     while todo:
         now, inside = todo.pop()
         yield now
         inside = inside or now.tag in TOPS
-        todo += [(p, inside) for p in now.parts if isinstance(p, Node) and not furniture(p, inside)]
-
-
-def size(node: Node) -> int:
-    return sum(map(len, blocks(node, frozenset())))
+        todo += [(p, inside) for p in now.parts if isinstance(p, Node) and not page.furniture(p, inside)]
 
 
 def subtrees(source: str) -> tuple[int, set[int]]:
@@ -180,13 +210,14 @@ def subtrees(source: str) -> tuple[int, set[int]]:
     Its own are its articles (or main elements), if they hold half of its text, so one article among changing adverts is
     one content, while pages that only share a teaser are many; else all of it.
     """
-    root = parse(source)
+    page = Page(source)
+    root = page.root
     hashed(root)
-    found = list(kept(root))
-    whole, tops = size(root), [root]
+    found = list(kept(page))
+    whole, tops = sum(map(len, blocks(page, root, frozenset()))), [root]
     for tag in TOPS:
         these = [n for n in found if n.tag == tag]
-        if whole and 2 * sum(map(size, these)) >= whole:
+        if whole and 2 * sum(len(line) for n in these for line in blocks(page, n, frozenset())) >= whole:
             tops = these
             break
     own = xxhash.xxh3_64_intdigest(",".join(str(n.hash) for n in tops)) - (1 << 63)

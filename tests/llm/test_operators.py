@@ -236,3 +236,11 @@ def test_text_on_few_pages_of_a_host_stays(spark):
     notice = "<p>The office is shut on Mondays</p>"
     html = [f"<body><div>Site box</div><p>Text {k} <b>in short</b> goes on</p>{notice if k < 6 else ''}</body>" for k in range(40)]
     assert texts_of(spark, html) == [f"Text {k} in short goes on" + ("\nThe office is shut on Mondays" if k < 6 else "") for k in range(40)]
+
+
+def test_furniture_is_named_in_whole_and_holds_no_main_text(spark):
+    for wrapper in ('<div class="layout has-sidebar">', '<div id="content" class="with-sidebar">', '<div class="sidebar">', "<form>"):
+        menu = '<nav>menu menu</nav><ul class="share-buttons"><li>Share</li></ul>'
+        table = '<div class="share-price-table">Price 5</div><p id="social-policy">Policy</p><p data-id="menu">Food</p><div class="site-footer">foot</div>'
+        assert texts_of(spark, [f"<body>{wrapper}{menu}<article><p>Long main text here</p>{table}</article></div></form></body>"]) == ["Long main text here\nPrice 5\nPolicy\nFood"]
+        assert texts_of(spark, [f"<body>{wrapper}{menu}<p>Long main text here</p></div></form></body>"]) == ["Long main text here"]
