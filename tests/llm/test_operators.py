@@ -244,3 +244,22 @@ def test_furniture_is_named_in_whole_and_holds_no_main_text(spark):
         table = '<div class="share-price-table">Price 5</div><p id="social-policy">Policy</p><p data-id="menu">Food</p><div class="site-footer">foot</div>'
         assert texts_of(spark, [f"<body>{wrapper}{menu}<article><p>Long main text here</p>{table}</article></div></form></body>"]) == ["Long main text here\nPrice 5\nPolicy\nFood"]
         assert texts_of(spark, [f"<body>{wrapper}{menu}<p>Long main text here</p></div></form></body>"]) == ["Long main text here"]
+
+
+def test_line_dedup_finds_lines_with_replaced_words(spark):
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randrange(4, 9)))
+    rows, near = [], 0
+    for size in (6, 10, 20, 50, 80):
+        for _ in range(40):
+            line = [word() for _ in range(size)]
+            rows.append((len(rows), " ".join(line)))
+            for k in draw.sample(range(size), max(1, size // 12)):
+                line[k] = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=len(line[k])))
+            rows.append((len(rows), " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = docs.alias("x").join(docs.alias("y"), F.expr("x.doc_id + 1 = y.doc_id and x.doc_id % 2 = 0"))
+    near = {r[0] for r in pairs.filter("levenshtein(x.text, y.text) <= 0.2 * greatest(length(x.text), length(y.text))").select("y.doc_id").collect()}
+    gone = {r["doc_id"] for r in line_dedup.dedup_lines(docs).filter("n_removed > 0").collect()}
+    print(len(near), len(gone))
+    assert gone <= near and len(gone) >= 0.95 * len(near) and len(near) > 150
