@@ -261,5 +261,12 @@ def test_line_dedup_finds_lines_with_replaced_words(spark):
     pairs = docs.alias("x").join(docs.alias("y"), F.expr("x.doc_id + 1 = y.doc_id and x.doc_id % 2 = 0"))
     near = {r[0] for r in pairs.filter("levenshtein(x.text, y.text) <= 0.2 * greatest(length(x.text), length(y.text))").select("y.doc_id").collect()}
     gone = {r["doc_id"] for r in line_dedup.dedup_lines(docs).filter("n_removed > 0").collect()}
-    print(len(near), len(gone))
+    print(f"{len(gone)} of {len(near)} near copies found")
     assert gone <= near and len(gone) >= 0.95 * len(near) and len(near) > 150
+
+
+def test_line_dedup_of_few_words_other_scripts_and_white_space(spark):
+    chinese = "".join(map(chr, random.Random(4).sample(range(0x4E00, 0x9000), 60)))
+    texts = ["All rights reserved.\n" + chinese, "all rights reserved.\t\r\nown line of this text here", chinese[:30] + "\u6c38" + chinese[31:], "one\ttwo\tthree", "\xa0one\ttwo\tthree\u3000"]
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {0: texts[0], 1: "own line of this text here", 2: "", 3: texts[3], 4: ""}
