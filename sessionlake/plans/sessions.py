@@ -362,7 +362,9 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows equal in session, kind, day and code count once; counted from the stream's append-mode output."""
     s = _stream(spark, sf_dir).withColumn("day", F.unix_micros(F.date_trunc("day", F.col("ts").cast("timestamp"))))
-    kept = streaming.deduplicated(streaming.with_event_time(s, late="40 days"), ["user_id", "event_type", "day", "props"])
+    first, last = table(spark, sf_dir, "events").agg(F.min("ts").cast("timestamp").cast("long"), F.max("ts").cast("timestamp").cast("long")).first()
+    late = f"{(last or 0) - (first or 0) + 86400} seconds"  # files come in any order, so no row may count as late
+    kept = streaming.deduplicated(streaming.with_event_time(s, late=late), ["user_id", "event_type", "day", "props"])
     done = streaming.run_to_table(kept.select("user_id", "event_type", "day", "props"), shared_folder(spark), "append")
     return done.groupBy("user_id", "event_type", "day").agg(F.count("*").alias("n"))
 
@@ -370,4 +372,4 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("with e as (select user_id, event_id as row_index, epoch_us(ts) // 3600000000 as t, row_number() over (partition by user_id order by event_id) as rn from events) select user_id, row_index, (max(t - rn) over (partition by user_id order by rn) + rn)::bigint as clock from e")
 def stream_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _stream(spark, sf_dir).select("user_id", F.col("event_id").alias("row_index"), F.expr("unix_micros(cast(ts as timestamp)) div 3600000000").alias("t"))
-    return streaming.run_to_table(streaming.monotonic(s, "user_id"), shared_folder(spark), "append")
+    return streaming.monotonic(streaming.run_to_table(s, shared_folder(spark), "append"), "user_id")

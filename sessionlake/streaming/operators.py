@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def read_folder(spark: SparkSession, like: DataFrame, path: str, files_per_trigger: int = 8) -> DataFrame:
@@ -43,21 +40,14 @@ def deduplicated(stream: DataFrame, keys: list[str]) -> DataFrame:
     return stream.dropDuplicatesWithinWatermark(keys)
 
 
-def monotonic(stream: DataFrame, key: str) -> DataFrame:
-    """Per key a clock that never stands still: t, or the clock before plus one; its last value is the state."""
+def monotonic(rows: DataFrame, key: str) -> DataFrame:
+    """Per key a clock that never stands still: t, or the clock before plus one, in the order of row_index.
 
-    def tick(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("row_index")
-        clock = []
-        for t in rows["t"]:
-            last = int(t) if last is None or t > last else last + 1
-            clock.append(last)
-        state.update((last,))
-        yield pd.DataFrame({key: group[0], "row_index": rows["row_index"].to_numpy(), "clock": clock})
-
-    kind = stream.schema[key].dataType.simpleString()
-    return stream.select(key, "row_index", "t").groupBy(key).applyInPandasWithState(tick, f"{key} {kind}, row_index long, clock long", "last long", "append", GroupStateTimeout.NoTimeout)
+    rows is what a stream has written: files come in any order, so the order holds over the whole table only.
+    """
+    upto = Window.partitionBy(key).orderBy("row_index").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.row_number().over(Window.partitionBy(key).orderBy("row_index"))
+    return rows.withColumn("n", n).select(key, "row_index", (F.max(F.col("t") - F.col("n")).over(upto) + F.col("n")).alias("clock"))
 
 
 def run_to_table(stream: DataFrame, folder: str, mode: str = "complete") -> DataFrame:

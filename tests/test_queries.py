@@ -28,3 +28,24 @@ def test_average_pose_against_numpy(spark):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["session", "frames", "valid_frames", "mean_abs_dt_us", "max_abs_dt_us", "idx_sum"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_streams_do_not_depend_on_files(spark, tmp_path):
+    from datetime import timedelta
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table(f"{SF}/events.parquet").sort_by("event_id")
+    at = rows.schema.get_field_index("ts")
+    ts = pa.array([t + timedelta(days=10 * k) for k, t in zip((12 * i // rows.num_rows for i in range(rows.num_rows)), rows["ts"].to_pylist())], rows.schema.field(at).type)
+    rows = rows.set_column(at, rows.schema.field(at), ts)
+    for name in ("one", "many"):
+        (tmp_path / name / "events.parquet").mkdir(parents=True)
+    pq.write_table(rows, tmp_path / "one/events.parquet/part.parquet")
+    step = -(-rows.num_rows // 12)
+    for k in reversed(range(12)):
+        pq.write_table(rows.slice(k * step, step), tmp_path / f"many/events.parquet/{11 - k:02}.parquet")
+    for name in ("stream_monotonic", "stream_dedupe"):
+        one, many = (sorted(map(tuple, plans.QUERIES[name](spark, str(tmp_path / k)).collect())) for k in ("one", "many"))
+        assert one == many
