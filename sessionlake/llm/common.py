@@ -19,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
         return found.rstrip("/")
     folder = getattr(spark, "_sessionlake_folder", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="sessionlake-")
         spark.sparkContext.setCheckpointDir(folder)
         spark._sessionlake_folder = folder
@@ -41,6 +43,11 @@ def drop_staged(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, a table of narrow rows, marked for broadcast if it has at most so many; counted first, so df should be staged."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def extended(df: DataFrame, more: str) -> StructType:
     """The schema of df with more columns, given as "name type, ..."."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
