@@ -13,14 +13,17 @@ from sessionlake.llm.common import stage
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents at or above the quality score quantile that parts the labelled documents as their labels do."""
+    """Documents at or above the quality score quantile that parts the labelled documents as their labels do.
+
+    Null texts are scored as empty ones; without labels all stay; an empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
     return quality.keep(docs, model, quality.quantile_threshold(docs, labels, model, between=(0.05, 0.5)))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language."""
+    """Documents in a learned language; null texts and those without a letter go; where nothing can be learned, all go."""
     return langid.keep(docs, langid.fit(docs, F.lit(True)))
 
 
@@ -33,16 +36,13 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose five-word shingles have a Jaccard similarity of 0.8 or more, one of each connected group.
 
-    The one with the smallest doc_id stays.
+    The row with the smallest doc_id stays, null ids last; rows with a null text or without words all stay.
     """
-    found = ngram_join.jaccard_components(docs, width=5, percent=80)
-    gone = stage(found.filter("component_id < doc_id").select(F.col("doc_id").alias("_doc")).distinct(), "copies")
-    kept = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left_anti")
-    return kept
+    return ngram_join.without_near_copies(docs, width=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all documents' pieces in sequences of 2048 tokens."""
+    """Places of all documents' pieces in sequences of 2048 tokens; a null text is an empty document; an empty table gives no row."""
     return packing.pack_documents(docs)
 
 
