@@ -9,10 +9,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import components, drop_staged, stage
+from sessionlake.llm.common import components, drop_staged, slices, small, stage
 from sessionlake.llm.shingles import mix, shingler
 
 #: Documents and shingles of a tile, the part of a group that one task opens, and rows that may be broadcast.
@@ -69,51 +69,59 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def set_id(tokens: np.ndarray) -> int | None:
+    """64-bit fingerprint of a set; None where it is empty."""
+    return int(mix(mix(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))).view(np.int64)) if len(tokens) else None
+
+
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (64-bit fingerprint of the set; null where it is empty), sigs (its signatures)."""
+    """doc_id, text_hash, n_shingles, set_id (fingerprint of the set; null where it is empty), sigs (its signatures)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler(width)
-        for batch in batches:
-            sizes, ids, sigs = [], [], []
-            for text in batch.column(1).to_pylist():
-                tokens = make.shingles(text)
-                sizes.append(len(tokens))
-                ids.append(int(mix(mix(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))).view(np.int64)) if len(tokens) else None)
-                sigs.append(signatures(tokens, percent).view(np.int64))
-            ends = np.cumsum([0, *map(len, sigs)])
-            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sigs) if sigs else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), flat], ["doc_id", "n_shingles", "set_id", "sigs"])
+        for batch in slices(batches):
+            found = [make.shingles(text) for text in batch.column(2).to_pylist()]
+            sigs = [signatures(tokens, percent).view(np.int64) for tokens in found]
+            flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32()), pa.array(np.concatenate(sigs)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), pa.array([set_id(x) for x in found], pa.int64()), flat], ["doc_id", "text_hash", "n_shingles", "set_id", "sigs"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(hashed, "doc_id long, n_shingles long, set_id long, sigs array<long>")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string"))
+    return rows.mapInArrow(hashed, "doc_id long, text_hash long, n_shingles long, set_id long, sigs array<long>")
 
 
 class Tile:
     """Sets of one tile: their ids, and their sorted tokens one after the other."""
 
-    def __init__(self, ids: bytes, sizes: bytes, tokens: bytes):
-        self.ids, self.sizes, self.tokens = np.frombuffer(ids, "i8"), np.frombuffer(sizes, "i8"), np.frombuffer(tokens, np.uint64)
-        self.rows = np.repeat(np.arange(len(self.ids)), self.sizes)
-        self.union = self.tokens if len(self.ids) == 1 else np.unique(self.tokens)
+    def __init__(self, ids: bytes, sizes: bytes, tokens: bytes, kind: str = "<u8"):
+        self.ids, self.sizes, self.tokens = np.frombuffer(ids, "i8"), np.frombuffer(sizes, "i8"), np.frombuffer(tokens, kind)
+        self.rows = np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+
+def short(tokens: np.ndarray) -> np.ndarray:
+    """The upper halves of tokens: what two sets share can only seem more by them."""
+    return (tokens >> np.uint64(32)).astype("<u4")
+
+
+def held_in(tokens: np.ndarray, union: np.ndarray) -> np.ndarray:
+    """Which tokens are in a sorted union."""
+    return union[np.minimum(np.searchsorted(union, tokens), len(union) - 1)] == tokens if len(union) else np.zeros(len(tokens), bool)
 
 
-def qualifying(a: Tile, b: Tile, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a that may have a partner in b, and which of a's tokens are in b's union: similar sets share at least percent of either."""
-    at = np.searchsorted(b.union, a.tokens)
-    inside = b.union[np.minimum(at, len(b.union) - 1)] == a.tokens
-    return np.bincount(a.rows, inside, len(a.ids)) * 100 >= percent * a.sizes, inside
+def qualifying(queries: Tile, union: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of queries that may have a partner in the group of a union: similar sets share at least percent of either."""
+    return np.flatnonzero(np.bincount(queries.rows, held_in(queries.tokens, union), len(queries.sizes)) * 100 >= percent * queries.sizes)
 
 
-def links(a: Tile, b: Tile, percent: int) -> list[tuple[int, int]]:
-    """Links between sets of two tiles (or within one), as many as keep the same sets connected."""
-    good_a, in_a = qualifying(a, b, percent)
-    if not good_a.any():
-        return []
-    good_b, in_b = qualifying(b, a, percent)
-    if not good_b.any():
-        return []
+def links(a: Tile, b: Tile, queries: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between the sets of a that queries tells and those of b (perhaps a itself), as many as keep the same sets connected."""
+    good_a, good_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
+    good_a[queries] = True
+    asked = np.unique(a.tokens[good_a[a.rows]])
+    inside = held_in(b.tokens, asked)
+    good_b[np.bincount(b.rows, inside, len(b.ids)) * 100 >= percent * b.sizes] = True
     rows_a, rows_b = np.flatnonzero(good_a), np.flatnonzero(good_b)
-    take_a, take_b = in_a & good_a[a.rows], in_b & good_b[b.rows]
+    take_b = inside & good_b[b.rows]
+    take_a = good_a[a.rows] & held_in(a.tokens, np.unique(b.tokens[take_b]))
     vocabulary, local = np.unique(np.concatenate([a.tokens[take_a], b.tokens[take_b]]), return_inverse=True)
     cut = int(take_a.sum())
     to_a, to_b = np.zeros(len(a.ids), "i8"), np.zeros(len(b.ids), "i8")
@@ -147,85 +155,185 @@ def spanning(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     return [(int(ids[k]), int(ids[r])) for k, r in enumerate(least) if ids[k] != ids[r]]
 
 
-def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def tiled(rows: DataFrame) -> DataFrame:
+    """Tiles of (group, tile, set_id, tokens), staged: ids, sizes and tokens of their sets, and in short form too with their union."""
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("set_id")
+        tokens = np.frombuffer(b"".join(rows["tokens"]), "<u8")
+        out = {"group": rows["group"].iloc[:1], "tile": rows["tile"].iloc[:1], "ids": [rows["set_id"].to_numpy("i8").tobytes()], "sizes": [(rows["tokens"].str.len() // 8).to_numpy("i8").tobytes()], "tokens": [tokens.tobytes()]}
+        return pd.DataFrame(out | {"short": [short(tokens).tobytes()], "union": [np.unique(short(tokens)).tobytes()]})
+
+    return stage(rows.groupBy("group", "tile").applyInPandas(gather, "group long, tile long, ids binary, sizes binary, tokens binary, short binary, union binary"), "tiles")
+
+
+def within(tiles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside each tile."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            out: list[tuple[int, int]] = []
+            for row in zip(*batch.columns, strict=True):
+                tile = Tile(*(x.as_py() for x in row))
+                if len(tile.ids) > 1:
+                    out += links(tile, tile, np.arange(len(tile.ids)), percent)
+            x = np.array(out, "i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+
+    return tiles.select("ids", "sizes", "tokens").mapInArrow(compare, "a long, b long")
+
+
+def opened(pairs: DataFrame, asking: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
+    """Links between tiles: pairs (a, ta, b, tb) of a tile of asking and one of tiles.
+
+    The stored union of (b, tb) bounds what each set of (a, ta) can share with any set there; only where some set
+    qualifies are both tiles opened, and only such sets are compared.
+    """
+    place = ["a", "ta", "b", "tb"]
+    a, b = [F.col("group").alias("a"), F.col("tile").alias("ta")], [F.col("group").alias("b"), F.col("tile").alias("tb")]
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found = [qualifying(Tile(b"", sizes.as_py(), tokens.as_py(), "<u4"), np.frombuffer(union.as_py(), "<u4"), percent) for sizes, tokens, union in zip(*batch.columns[4:], strict=True)]
+            out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x.astype("<i4").tobytes() for x in found], pa.binary())], [*place, "queries"])
+            yield out.filter(pa.array([len(x) > 0 for x in found], pa.bool_()))
+
+    bounds = pairs.join(asking.select(*a, "sizes", "short"), ["a", "ta"]).join(tiles.select(*b, "union"), ["b", "tb"]).select(*place, "sizes", "short", "union")
+    wanted = stage(bounds.mapInArrow(bound, "a long, ta long, b long, tb long, queries binary"), "opened")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            out: list[tuple[int, int]] = []
+            for row in zip(*batch.columns, strict=True):
+                queries, *parts = (x.as_py() for x in row)
+                out += links(Tile(*parts[:3]), Tile(*parts[3:]), np.frombuffer(queries, "<i4"), percent)
+            x = np.array(out, "i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+
+    one = asking.select(*a, *(F.col(c).alias(f"{c}_a") for c in ("ids", "sizes", "tokens")))
+    two = tiles.select(*b, *(F.col(c).alias(f"{c}_b") for c in ("ids", "sizes", "tokens")))
+    both = wanted.join(one, ["a", "ta"]).join(two, ["b", "tb"])
+    return both.select("queries", *(f"{c}_{s}" for s in "ab" for c in ("ids", "sizes", "tokens"))).mapInArrow(compare, "a long, b long")
+
+
+def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows: int = BROADCAST_ROWS, tile_rows: int = TILE_ROWS) -> tuple[DataFrame, DataFrame]:
     """(sets of all documents, components of set ids).
 
     1. Equal sets become one. A set's tokens, for looking up groups, are the signatures of its parts; a signature that
        one set alone has is dropped at once.
-    2. A set joins the group of the signature that most sets share with it, so copies of a text fall together.
-    3. The token-group matrix: per signature the groups whose union holds it. Two groups that share none can't hold
-       similar sets; the other pairs are opened.
-    4. Opening: groups come in tiles with their sets and the union of their shingles. A set stays only if the other
-       tile's union holds enough of its shingles; what stays is compared by exact counts. A task passes on only links
-       that connect, never all pairs of a group.
+    2. A set joins the group of the signature that most sets share with it, so copies of a text fall together. Groups
+       come in tiles, which store their sets and the union of their shingles.
+    3. The token-group matrix: per signature the groups that hold it. Two groups that share none can't hold similar
+       sets. For the other pairs the stored union bounds how much a set can share with a group; only where that is
+       enough is the group opened, and what qualifies is compared by exact counts.
+    4. The first round compares the sets of a tile, each tile with the first of its group, and first tiles of groups
+       with each other. Most sets of a large group are then connected; the second round compares only the others with
+       all tiles. A task passes on only links that connect, never all pairs of a group.
     """
-    spark = docs.sparkSession
     held = stage(sets(docs, width, percent), "sets")
-    kept = held.filter("set_id is not null").groupBy("set_id").agg(F.first("sigs").alias("sigs"))
-    shared = kept.select("set_id", F.explode("sigs").alias("sig")).withColumn("n", F.count("*").over(Window.partitionBy("sig"))).filter("n > 1")
-    live = stage(shared, "signatures")
-    groups = live.groupBy("set_id").agg(F.max_by("sig", F.struct("n", "sig")).alias("group"))
-    members = stage(groups, "groups")
+    kept = held.filter("set_id is not null and size(sigs) > 0").groupBy("set_id").agg(F.first("sigs").alias("sigs"))
+    each = kept.select("set_id", F.explode("sigs").alias("sig"))
+    counted = stage(each.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1"), "counted")
+    live = stage(each.join(small(counted, broadcast_rows), "sig"), "signatures")
+    members = stage(live.groupBy("set_id").agg(F.max_by("sig", F.struct("n", "sig")).alias("group")), "groups")
     matrix = live.select("sig", "set_id").join(members, "set_id").select("sig", "group").distinct()
     left, right = matrix.select("sig", F.col("group").alias("a")), matrix.select("sig", F.col("group").alias("b"))
-    opened = left.join(right, "sig").filter("a <= b").select("a", "b").distinct()
+    met = stage(left.join(right, "sig").filter("a < b").select("a", "b").distinct(), "met")
 
-    # the sets of groups to open, shingled again from one document each
-    first = held.join(members, "set_id").groupBy("set_id", "group").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
-    first = stage(first, "first")
-    sizes = first.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("size") / TILE_TOKENS)).alias("tiles"))
-    wanted = first.join(sizes, "group").select(F.col("doc_id").alias("_doc"), F.col("set_id").alias("_set"), "group", F.pmod(F.xxhash64("set_id"), "tiles").alias("tile"))
-    if first.count() <= broadcast_rows:  # checked: some 50 bytes a row
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string")).join(wanted, "_doc")
+    # the sets of groups, shingled again from one text each
+    first = stage(held.join(small(members, broadcast_rows), "set_id").groupBy("set_id", "group").agg(F.min("text_hash").alias("_hash"), F.first("n_shingles").alias("size")), "first")
+    sizes = stage(first.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / tile_rows), F.ceil(F.sum("size") / TILE_TOKENS)).alias("tiles")), "group-sizes")
+    wanted = stage(first.join(small(sizes, broadcast_rows), "group").select("_hash", F.col("set_id").alias("_set"), "group", F.pmod(F.xxhash64("set_id"), "tiles").alias("tile")), "wanted")
+    texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("_hash"), F.col("text").cast("string").alias("text")).join(small(wanted, broadcast_rows), "_hash")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler(width)
-        for batch in batches:
+        for batch in slices(batches):
             found = [make.shingles(x) for x in batch.column("text").to_pylist()]
-            sets = [int(mix(mix(x).sum(dtype=np.uint64) + np.uint64(len(x))).view(np.int64)) if len(x) else None for x in found]
-            same = pa.array([a == b for a, b in zip(sets, batch.column("_set").to_pylist(), strict=True)])  # of rows with one doc_id
-            out = pa.RecordBatch.from_arrays([batch.column("group"), batch.column("tile"), batch.column("_set"), pa.array([x.tobytes() for x in found], pa.binary())], ["group", "tile", "set_id", "tokens"])
-            yield out.filter(same)
+            same = pa.array([set_id(x) == b for x, b in zip(found, batch.column("_set").to_pylist(), strict=True)])  # of texts of one hash
+            yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("tile"), batch.column("_set"), pa.array([x.tobytes() for x in found], pa.binary())], ["group", "tile", "set_id", "tokens"]).filter(same)
+
+    tiles = tiled(texts.mapInArrow(again, "group long, tile long, set_id long, tokens binary").dropDuplicates(["group", "tile", "set_id"]))
+    numbers = tiles.select("group", "tile")
+    to_first = numbers.filter("tile > 0").select(F.col("group").alias("a"), F.col("tile").alias("ta"), F.col("group").alias("b"), F.lit(0).cast("long").alias("tb"))
+    firsts = met.select("a", F.lit(0).cast("long").alias("ta"), "b", F.lit(0).cast("long").alias("tb"))
+    edges = stage(within(tiles, percent).union(opened(to_first.union(firsts), tiles, tiles, percent)), "set-links")
+
+    large = stage(sizes.filter("tiles > 1").select("group"), "large-groups")
+    if not large.isEmpty():
+        begun = stage(components(edges), "begun")
+        state = first.select("group", "set_id").join(begun.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+        counts = state.groupBy("group", "component").count()
+        main = stage(counts.groupBy("group").agg(F.max_by("component", F.struct("count", "component")).alias("main")), "main")
+        pairs = met.join(main.select(F.col("group").alias("a"), F.col("main").alias("ma")), "a").join(main.select(F.col("group").alias("b"), F.col("main").alias("mb")), "b")
+        pairs = pairs.join(sizes.select(F.col("group").alias("a"), F.col("tiles").alias("na")), "a").join(sizes.select(F.col("group").alias("b"), F.col("tiles").alias("nb")), "b").filter("na > 1 or nb > 1")
+        alike, unlike = pairs.filter("ma = mb"), pairs.filter("ma <> mb")
+        asks = large.select(F.col("group").alias("a"), F.col("group").alias("b")).union(alike.select("a", "b")).union(alike.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        others = state.join(main, "group").filter("component <> main").select("group", "set_id").join(asks.select(F.col("a").alias("group")).distinct(), "group", "left_semi")
+        asking = tiled(others.withColumnRenamed("set_id", "_set").join(_unpacked(tiles), ["group", "_set"]).select("group", "tile", F.col("_set").alias("set_id"), "tokens"))
+        by_b = numbers.select(F.col("group").alias("b"), F.col("tile").alias("tb"))
+        of_others = asks.join(asking.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").select("a", "ta", "b", "tb")
+        of_all = unlike.join(numbers.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").filter("ta > 0 or tb > 0").select("a", "ta", "b", "tb")
+        edges = edges.union(stage(opened(of_others, asking, tiles, percent).union(opened(of_all, tiles, tiles, percent)), "set-links"))
+    found = components(edges)
+    drop_staged(live, counted, members, met, first, sizes, wanted, tiles)
+    return held.drop("sigs"), found
 
-    opened_sets = texts.mapInArrow(again, "group long, tile long, set_id long, tokens binary").dropDuplicates(["group", "tile", "set_id"])
 
-    def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("set_id")
-        return pd.DataFrame({"group": rows["group"].iloc[:1], "tile": rows["tile"].iloc[:1], "ids": [rows["set_id"].to_numpy("i8").tobytes()], "sizes": [(rows["tokens"].str.len() // 8).to_numpy("i8").tobytes()], "tokens": [b"".join(rows["tokens"])]})
+def _unpacked(tiles: DataFrame) -> DataFrame:
+    """group, tile, _set and tokens of the sets of tiles."""
 
-    tiles = stage(opened_sets.groupBy("group", "tile").applyInPandas(gather, "group long, tile long, ids binary, sizes binary, tokens binary"), "tiles")
-    numbers = tiles.select("group", "tile", F.length("ids").alias("bytes"))
-    pairs = opened.join(numbers.select(F.col("group").alias("a"), F.col("tile").alias("ta"), F.col("bytes").alias("na")), "a").join(numbers.select(F.col("group").alias("b"), F.col("tile").alias("tb")), "b")
-    pairs = pairs.filter("a < b or ta < tb or (ta = tb and na > 8)").select("a", "ta", "b", "tb")
-    one = tiles.select(F.col("group").alias("a"), F.col("tile").alias("ta"), *(F.col(c).alias(f"{c}_a") for c in ("ids", "sizes", "tokens")))
-    two = tiles.select(F.col("group").alias("b"), F.col("tile").alias("tb"), *(F.col(c).alias(f"{c}_b") for c in ("ids", "sizes", "tokens")))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8):
+            for group, tile, ids, sizes, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, ends = np.frombuffer(ids, "i8"), np.cumsum(np.frombuffer(sizes, "i8")) * 8
+                parts = [tokens[b - n : b] for b, n in zip(ends.tolist(), (np.frombuffer(sizes, "i8") * 8).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([group] * len(ids), pa.int64()), pa.array([tile] * len(ids), pa.int64()), pa.array(ids), pa.array(parts, pa.binary())], ["group", "tile", "_set", "tokens"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            for row in zip(*(batch.column(f"{c}_{s}") for s in "ab" for c in ("ids", "sizes", "tokens")), strict=True):
-                ids, sizes, tokens, *other = (x.as_py() for x in row)
-                out += links(Tile(ids, sizes, tokens), Tile(*other), percent)
-            x = np.array(out, "i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
-
-    edges = pairs.join(one, ["a", "ta"]).join(two, ["b", "tb"]).mapInArrow(compare, "a long, b long")
-    found = components(edges)
-    drop_staged(live, members, first, tiles)
-    return held.select("doc_id", "n_shingles", "set_id"), found
+    return tiles.select("group", "tile", "ids", "sizes", "tokens").mapInArrow(rows, "group long, tile long, _set long, tokens binary")
 
 
-def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, tile_rows: int = TILE_ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable over links, for every row of documents.
 
     Two documents link when their sets of distinct word shingles have a Jaccard similarity of at least percent / 100.
     Words lie between ASCII white space and A-Z are lowered; a text of fewer words than a shingle is one shingle; null
     texts and those without words are empty sets, linked with nothing. The join is exact but for shingles being 64-bit
-    hashes. Repeated rows each give a row; rows of one doc_id with unlike texts belong to their own texts' components.
-    Other columns are left out; an empty table gives no row.
+    hashes, and, where sets have parts of few elements in MANY or more parts (only below 90 %), a chance under 1 in
+    10^8 for a pair at the threshold to be missed. Repeated rows each give a row; rows of one doc_id with unlike texts
+    belong to their own texts' components; null ids count as larger than all others. Other columns are left out; an
+    empty table gives no row.
+    """
+    held, found = link_sets(docs, width, percent, tile_rows=tile_rows)
+    labels = set_labels(held, found, F.min("doc_id"))
+    return held.join(labels, "set_id", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def set_labels(held: DataFrame, found: DataFrame, least) -> DataFrame:
+    """set_id, component and least, an aggregate over the documents of the component, for sets of more than one document or with links."""
+    per = held.filter("set_id is not null").groupBy("set_id").agg(least.alias("least"), F.count("*").alias("n"))
+    per = per.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").filter("n > 1 or component is not null")
+    per = stage(per.select("set_id", F.coalesce("component", "set_id").alias("component"), "least"), "set-labels")
+    of_all = stage(per.groupBy("component").agg(F.min("least").alias("least")), "components")
+    return small(stage(per.drop("least").join(small(of_all, BROADCAST_ROWS), "component"), "set-labels"), BROADCAST_ROWS)
+
+
+def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """docs with all its columns, of each connected group of similar documents exactly one row.
+
+    Links as in jaccard_components. The row with the smallest doc_id stays (null ids last, then the smaller text hash;
+    of rows alike in both any one). Rows whose text is null or has no word stay, all of them.
     """
     held, found = link_sets(docs, width, percent)
-    labelled = held.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    least = labelled.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash")
+    labels = set_labels(held, found, F.min(place))
+    members = held.join(labels, "set_id").groupBy("doc_id", "text_hash").agg(F.first("least").alias("least"), F.count("*").alias("rows"))
+    kept = place == F.col("least")
+    names = docs.columns
+    decided = stage(members.filter(~kept | (F.col("rows") > 1)).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), kept.alias("_kept")), "copies")
+    decided = small(decided, BROADCAST_ROWS)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    out = rows.join(decided, same, "left").filter("_kept is null or _kept")
+    once = out.filter("_kept").dropDuplicates(["doc_id", "text_hash"])
+    return out.filter("_kept is null").union(once).select("row.*")

@@ -270,3 +270,80 @@ def test_line_dedup_of_few_words_other_scripts_and_white_space(spark):
     texts = ["All rights reserved.\n" + chinese, "all rights reserved.\t\r\nown line of this text here", chinese[:30] + "\u6c38" + chinese[31:], "one\ttwo\tthree", "\xa0one\ttwo\tthree\u3000"]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["text"] for r in got} == {0: texts[0], 1: "own line of this text here", 2: "", 3: texts[3], 4: ""}
+
+
+def word_sets(docs, width):
+    def shingles(t):
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in re.findall("[^\x20\x09-\x0d]+", t or "")]
+        return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+    return [shingles(t) for t in docs]
+
+
+def test_jaccard_of_large_groups_in_many_tiles(spark):
+    draw = random.Random(11)
+    texts = []
+    for _ in range(3):
+        base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+        for _ in range(30):
+            base = list(base)
+            base[draw.randrange(len(base))] = f"n{draw.randrange(5000)}"
+            texts.append(" ".join(base))
+    sets = word_sets(texts, 3)
+    want = partition([(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])], range(len(sets)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df, 3, 90, tile_rows=4).collect()}
+    assert got == want and len(set(want.values())) < 20
+
+
+def test_union_bounds_what_a_group_can_share():
+    draw = np.random.default_rng(4)
+    group = [np.unique(draw.integers(0, 2**64, 50, dtype=np.uint64)) for _ in range(5)]
+    union = np.unique(np.concatenate([ngram_join.short(x) for x in group]))
+    near, far = np.unique(np.concatenate([group[2][:46], group[3][:1]])), np.unique(np.concatenate([group[0][:20], draw.integers(0, 2**64, 30, dtype=np.uint64)]))
+    asked = ngram_join.Tile(b"", np.array([len(near), len(far)], "i8").tobytes(), np.concatenate([ngram_join.short(near), ngram_join.short(far)]).tobytes(), "<u4")
+    assert ngram_join.qualifying(asked, union, 90).tolist() == [0]
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark):
+    draw = random.Random(12)
+    texts = [None, "", " ", None]
+    for _ in range(12):
+        base = [f"w{draw.randrange(300)}" for _ in range(60)]
+        texts += [" ".join(base)] * draw.choice([1, 2, 3])
+        base[30] = "other"
+        texts.append(" ".join(base))
+    ids = [draw.choice([None, 5, 6]) if draw.random() < 0.3 else 100 + k for k in range(len(texts))]
+    docs = spark.createDataFrame([(i, t, k, 1, 2) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], "doc_id long, text string, n long, _doc long, component_id long")
+    sets = word_sets(texts, 5)
+    root = partition([(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], range(len(sets)))
+    kept = ngram_join.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    rows = [r["n"] for r in kept.collect()]
+    assert sorted(root[k] for k in rows) == sorted(set(root.values()))
+    for k in rows:
+        same = [ids[j] for j in root if root[j] == root[k]]
+        assert ids[k] == min((i for i in same if i is not None), default=None)
+    assert ngram_join.without_near_copies(docs.limit(0)).count() == 0
+
+
+def test_line_dedup_with_clashing_columns_and_null_ids(spark):
+    line = "a line of several words that stands in more than one document"
+    rows = [(None, line, 1, 2, 3, 4), (1, line, 1, 2, 3, 4), (1, line, 5, 6, 7, 8), (None, None, 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines long, key long, gone long, `a.b` long")
+    got = sorted(((r["doc_id"] is None, r["text"], r["n_removed"], r["a.b"]) for r in line_dedup.dedup_lines(docs).collect()), key=repr)
+    assert got == [(False, "", 1, 4), (False, "", 1, 8), (True, line, 0, 4), (True, None, 0, 4)]
+    assert sorted(line_dedup.dedup_lines(docs).columns) == sorted(docs.columns + ["n_removed"])
+
+
+def test_long_lines_are_compared_word_by_word(spark):
+    draw = random.Random(13)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    one = [word() for _ in range(400)]
+    near, far = list(one), list(one)
+    for k in range(0, 400, 10):
+        near[k] = word()
+    for k in range(0, 400, 3):
+        far[k] = word()
+    docs = spark.createDataFrame(list(enumerate(map(" ".join, (one, near, far)))), "doc_id long, text string")
+    assert [r["n_removed"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 0]
