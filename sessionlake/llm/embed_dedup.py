@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import components, extended, stage
-from sessionlake.llm.vectors import matrix, packed, sample
+from sessionlake.llm.vectors import matrix, of_dimensions, packed, sample
 
 #: Vectors that the principal dimensions are fitted on, dimensions that sort and that bound, vectors of an interval,
 #: of the smaller intervals in it, and intervals below one of the recursion.
-SAMPLE, SORTED, BOUNDED, INTERVAL, SMALLER, FAN = 4096, 4, 8, 2048, 64, 8
+SAMPLE, SORTED, BOUNDED, INTERVAL, SMALLER, FAN = 4096, 4, 8, 8192, 64, 8
 #: Room for rounding in squared distances of unit vectors.
 SLACK = 1e-9
 
@@ -98,22 +99,9 @@ def join_intervals(a: pd.DataFrame, b: pd.DataFrame, same: bool, cosine: float,
     return pd.DataFrame({"id": ids[some], "links": count[some], "root": ids[label[some]]})
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row: links are pairs with a cosine of at least the given one.
-
-    Equal vectors become one with a weight. Unit vectors are sorted by their cells on the leading principal dimensions
-    and cut into intervals; pairs of intervals whose boxes are farther apart than the radius are skipped, from large
-    intervals down to small ones. Tasks pass on counts and links that connect, never all pairs. Exact but for rounding
-    in the last places. Vectors that are null, zero, hold null or non-finite components or have another dimension than
-    most link with nothing; rows with a null id too. Rows of one id count as one vector each, their links summed by id.
-    Other columns are left out; an empty table gives no row.
-    """
-    held = stage(packed(vectors.filter(F.col(id_col).isNotNull()), id_col, vector_col, unit), "units")
-    everyone = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
-    members = stage(held.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "distinct")
+def links_of(members: DataFrame, cosine: float, interval: int) -> DataFrame:
+    """(id, links, root) of distinct unit vectors of one dimension: weights of the links found, in parts, and a vector each is connected with."""
     n = members.count()
-    if not n:
-        return everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     eps = math.sqrt(2 - 2 * cosine)
     basis = principal(sample(members, SAMPLE))
     d = min(BOUNDED, basis.shape[1])
@@ -129,7 +117,26 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         same = key[0] == key[1]
         return join_intervals(a, a if same else b, same, cosine, d)
 
-    found = stage(left.groupBy("a", "b").cogroup(right.groupBy("u", "w")).applyInPandas(joined, "id long, links long, root long"), "links")
+    return stage(left.groupBy("a", "b").cogroup(right.groupBy("u", "w")).applyInPandas(joined, "id long, links long, root long"), "links")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row: links are pairs with a cosine of at least the given one.
+
+    Equal vectors become one with a weight. Unit vectors are sorted by their cells on the leading principal dimensions
+    and cut into intervals; pairs of intervals whose boxes are farther apart than the radius are skipped, from large
+    intervals down to small ones. Tasks pass on counts and links that connect, never all pairs. Exact but for rounding
+    in the last places. Vectors that are null, zero or hold null or non-finite components link with nothing, those of
+    unlike dimensions not with each other, rows with a null id not at all. Rows of one id count as one vector each,
+    their links summed by id. Other columns are left out; an empty table gives no row.
+    """
+    held = stage(packed(vectors.filter(F.col(id_col).isNotNull()), id_col, vector_col, unit), "units")
+    everyone = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
+    members = stage(held.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "distinct")
+    parts = [links_of(part, cosine, interval) for part in of_dimensions(members)]
+    if not parts:
+        return everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    found = reduce(DataFrame.union, parts)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).filter("a <> b").distinct())
     per = members.select("v", "id", "n").join(links, "id", "left").join(groups, "id", "left").select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "id").alias("component"))

@@ -8,11 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import stage
-from sessionlake.llm.vectors import matrix, packed, sample
+from sessionlake.llm.common import drop_staged, small, stage
+from sessionlake.llm.vectors import matrix, of_dimensions, packed, sample
 
 #: Vectors that the pivots are fitted on, pivots at most, vectors of an annulus, queries that a task takes at once.
 SAMPLE, PIVOTS, ANNULUS, QUERIES = 4096, 64, 4096, 4096
+#: Annuli that a query opens first, how many times more in each round after it, and annuli whose bounds may be broadcast.
+FIRST, FASTER, BROADCAST_ROWS = 2, 8, 200_000
 #: Room for rounding in the bounds, of distances of the order of the data.
 SLACK = 1e-6
 
@@ -55,7 +57,7 @@ def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def build(vectors: DataFrame, top: float, pivots: np.ndarray, annulus: int) -> DataFrame:
-    """The index, a staged table: block, pivot, r (distance to it), id, v; blocks are runs of the order by pivot and r.
+    """The index, a staged table: block, pivot, r (distance to it), id, v; a block is an annulus of one pivot, a run of the order by r.
 
     Every vector is indexed. Vectors at one distance of one pivot, copies say, may fill several blocks.
     """
@@ -69,50 +71,11 @@ def build(vectors: DataFrame, top: float, pivots: np.ndarray, annulus: int) -> D
     keyed = vectors.mapInArrow(key, "id long, v binary, pivot int, r double")
     n = vectors.count()
     runs = keyed.repartitionByRange(max(1, -(-n // annulus)), "pivot", "r", F.xxhash64("id", "v"))
-    return stage(runs.withColumn("block", F.spark_partition_id()), "annuli")
+    return stage(runs.withColumn("block", F.spark_partition_id().cast("long") * len(pivots) + F.col("pivot")), "annuli")
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, annulus: int = ANNULUS) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: for each query the k vectors of the largest integer inner product.
-
-    Components become floor(256 * x). Queries are the rows whose id is divisible by every; a query's own row is no
-    candidate of it, ties go to the smaller id. Exact: vectors are lifted to one norm, where inner products order as
-    distances do; a query first opens the two nearest annuli, which bounds the distance of its k-th result, and then
-    those whose triangle-inequality bound doesn't exceed it. Null vectors and those with null or non-finite
-    components, or of another dimension than most, take no part; neither do null ids. Other columns are left out.
-    Repeated ids are candidates of each other's queries only under another id. An empty table gives no row.
-    """
-    spark = vectors.sparkSession
-    held = stage(packed(vectors.filter(F.col(id_col).isNotNull()), id_col, vector_col, quantise), "vectors")
-
-    def norms(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([float((matrix(batch.column("v").to_pylist()) ** 2).sum(1).max())])], ["top"])
-
-    top = held.mapInArrow(norms, "top double").agg(F.max("top")).first()[0]
-    schema = "query_id long, rank int, vec_id long, score long"
-    if top is None:
-        return spark.createDataFrame([], schema)
-    seeds = lifted(sample(held, SAMPLE), top)
-    centres = fit_pivots(seeds, pivots)
-    index = build(held, top, centres, annulus)
-    rings = index.groupBy("block", "pivot").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    queries = held.filter(F.col("id") % every == 0)
-    chunks = max(1, -(-queries.count() // QUERIES))
-
-    def far(batches):
-        for batch in batches:
-            if batch.num_rows:
-                d = distances(lifted(matrix(batch.column("v").to_pylist()), None), centres)
-                n, p = d.shape
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy(zero_copy_only=False), p)), pa.array(np.tile(np.arange(p, dtype="i4"), n)), pa.array(d.ravel())], ["query_id", "pivot", "d"])
-
-    near = queries.mapInArrow(far, "query_id long, pivot int, d double").join(rings, "pivot")
-    near = near.withColumn("bound", F.greatest(F.lit(0.0), F.col("d") - F.col("hi"), F.col("lo") - F.col("d"))).groupBy("query_id", "block").agg(F.min("bound").alias("bound"))
-    near = stage(near.withColumn("turn", F.row_number().over(Window.partitionBy("query_id").orderBy("bound", "block"))), "bounds")
-    rows = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"))
-    copies = index.select("block", "id", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+def best_of(k: int):
+    """For a cogroup of queries and an annulus: the k best of the annulus for each query."""
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -131,24 +94,84 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
                     out.append(pd.DataFrame({"query_id": who, "vec_id": ids[some], "score": row[some]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    def opened(which: DataFrame) -> DataFrame:
-        asked = which.join(rows, "query_id").select("block", "chunk", "query_id", "q")
-        found = asked.groupBy("block", "chunk").cogroup(copies.groupBy("block", "chunk")).applyInPandas(best, "query_id long, vec_id long, score long")
-        return ranked(found)
+    return best
 
-    def ranked(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    begun = stage(opened(near.filter("turn <= 2")), "begun")
-    known = begun.groupBy("query_id").agg(F.min("score").alias("s"), F.count("*").alias("n"))
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    def size(batches):
+
+def search(held: DataFrame, k: int, every: int, pivots: int, annulus: int, opened: list[int] | None = None) -> DataFrame | None:
+    """top_k() over packed vectors of one dimension; opened gets the numbers of (query, annulus) pairs opened and there are."""
+
+    def norms(batches):
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array((matrix(batch.column("q").to_pylist()) ** 2).sum(1))], ["query_id", "qq"])
+                yield pa.RecordBatch.from_arrays([pa.array([float((matrix(batch.column("v").to_pylist()) ** 2).sum(1).max())])], ["top"])
+
+    top = held.mapInArrow(norms, "top double").agg(F.max("top")).first()[0]
+    centres = fit_pivots(lifted(sample(held, SAMPLE), top), pivots)
+    index = build(held, top, centres, annulus)
+    rings = stage(index.groupBy("block", "pivot").agg(F.min("r").alias("lo"), F.max("r").alias("hi")), "rings")
+    asked = held.filter(F.col("id") % every == 0)
+    chunks = max(1, -(-asked.count() // QUERIES))
 
-    limits = rows.mapInArrow(size, "query_id long, qq double").join(known, "query_id", "left")
-    limit = F.when(F.col("n") >= k, F.sqrt(F.greatest(F.lit(0.0), F.col("qq") + F.lit(top) - 2.0 * F.col("s"))) * (1 + SLACK) + SLACK)
-    rest = near.filter("turn > 2").join(limits.select("query_id", limit.alias("limit")), "query_id").filter("limit is null or bound <= limit").select("query_id", "block")
-    return ranked(begun.drop("rank").union(opened(rest).drop("rank"))).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    def far(batches):
+        for batch in batches:
+            if batch.num_rows:
+                q = matrix(batch.column("v").to_pylist())
+                d = distances(lifted(q, None), centres)
+                ends = pa.array(np.arange(len(d) + 1) * d.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array((q * q).sum(1)), pa.array(d.min(1)), pa.ListArray.from_arrays(ends, pa.array(d.ravel()))], ["query_id", "q", "qq", "least", "d"])
+
+    queries = stage(asked.mapInArrow(far, "query_id long, q binary, qq double, least double, d array<double>").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("long")), "queries")
+    # a ring's points are no nearer than it to its pivot, and nearer to it than to the query's own pivot
+    d = F.col("d")[F.col("pivot")]
+    bound = F.greatest(F.lit(0.0), d - F.col("hi"), F.col("lo") - d, (d - F.col("least")) / 2)
+    found, state, wave = None, queries.select("query_id", F.lit(-1.0).alias("past"), F.lit(-1).cast("long").alias("block_past"), F.lit(None).cast("double").alias("limit")), FIRST
+    while True:
+        near = queries.select("query_id", "least", "d", F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1))).alias("pivot")).join(small(rings, BROADCAST_ROWS), "pivot").join(state, "query_id")
+        near = near.select("query_id", "block", bound.alias("bound"), "past", "block_past", "limit").filter("(bound > past or bound = past and block > block_past) and (limit is null or bound <= limit)")
+        order = Window.partitionBy("query_id").orderBy("bound", "block")
+        which = stage(near.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= wave).select("query_id", "block", "bound"), "opened")
+        number = which.count()
+        if opened is not None:
+            opened.append(number)
+        if not number:
+            break
+        rows = which.join(queries.select("query_id", "q", "chunk"), "query_id").select("block", "chunk", "query_id", "q")
+        wanted = stage(rows.select("block", "chunk").distinct(), "wanted")  # only what is asked for is copied
+        copies = index.select("block", "id", "v").join(small(wanted, BROADCAST_ROWS), "block")
+        more = rows.groupBy("block", "chunk").cogroup(copies.groupBy("block", "chunk")).applyInPandas(best_of(k), "query_id long, vec_id long, score long")
+        found = stage(ranked(more if found is None else found.union(more), k).drop("rank"), "found")
+        known = found.groupBy("query_id").agg(F.min("score").alias("s"), F.count("*").alias("n"))
+        last = which.groupBy("query_id").agg(F.max(F.struct("bound", "block")).alias("last"))
+        limit = F.when(F.col("n") >= k, F.sqrt(F.greatest(F.lit(0.0), F.col("qq") + F.lit(top) - 2.0 * F.col("s"))) * (1 + SLACK) + SLACK)
+        state = last.join(queries.select("query_id", "qq"), "query_id").join(known, "query_id", "left")
+        state = stage(state.select("query_id", F.col("last.bound").alias("past"), F.col("last.block").alias("block_past"), limit.alias("limit")), "state")
+        wave *= FASTER
+    if opened is not None:
+        opened[:] = [sum(opened), queries.count() * rings.count()]
+    drop_staged(index, rings)
+    return None if found is None else ranked(found, k)
+
+
+def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, annulus: int = ANNULUS) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: for each query the k vectors of the largest integer inner product.
+
+    Components become floor(256 * x). Queries are the rows whose id is divisible by every; a query's own row is no
+    candidate of it, ties go to the smaller id. Exact: vectors are lifted to one norm, where inner products order as
+    distances do; each vector is keyed by its nearest pivot and its distance to it. A query opens annuli by their
+    triangle-inequality bounds, FIRST of them and then FASTER times more a round, until the next bound exceeds the
+    distance of its k-th result. Null vectors and those with null or non-finite components take no part; neither do
+    null ids; vectors of unlike dimensions are no candidates of each other. Other columns are left out. Repeated ids
+    are candidates of each other's queries only under another id. An empty table gives no row.
+    """
+    held = stage(packed(vectors.filter(F.col(id_col).isNotNull()), id_col, vector_col, quantise), "vectors")
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for part in of_dimensions(held):
+        found = search(part, k, every, pivots, annulus)
+        if found is not None:
+            out = out.union(found.select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
+    return out

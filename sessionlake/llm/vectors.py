@@ -6,35 +6,39 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def packed(vectors: DataFrame, id_col: str, vector_col: str, change: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """id and vector (little-endian doubles) of the rows whose vector is valid, of the most common dimension.
+    """id and vector (little-endian doubles) of the rows whose vector is valid, of any dimension.
 
     Valid: not null, not empty, every component there and finite; after change (rows x dimensions to the same) too.
-    Dimensions other than the most common one (ties: the larger) are left out: they compare with nothing.
     """
-    dims = vectors.filter(f"{vector_col} is not null").groupBy(F.size(vector_col).alias("d")).count().filter("d > 0").orderBy(F.desc("count"), F.desc("d")).first()
-    d = dims["d"] if dims else 1
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.size("v") == d)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.size("v") > 0)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column(1).flatten()
-            x = flat.to_numpy(zero_copy_only=False).astype("<f8").reshape(-1, d)  # nulls become NaN
-            good = np.isfinite(x).all(1)
-            x = x[good] if change is None else change(x[good])
-            still = np.isfinite(x).all(1)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[good][still]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([r.tobytes() for r in x[still]], pa.binary())], ["id", "v"])
+            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            for d in np.unique(sizes):
+                some = pa.array(sizes == d)
+                x = batch.column(1).filter(some).flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(-1, d)  # nulls become NaN
+                good = np.isfinite(x).all(1)
+                x = x[good] if change is None else change(x[good])
+                still = np.isfinite(x).all(1)
+                ids = batch.column(0).filter(some).to_numpy(zero_copy_only=False)[good][still]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([r.tobytes() for r in x[still]], pa.binary())], ["id", "v"])
 
     return rows.mapInArrow(pack, "id long, v binary")
 
 
+def of_dimensions(held: DataFrame) -> list[DataFrame]:
+    """Packed vectors parted by dimension: those of unlike ones compare with nothing of each other."""
+    sizes = [r["n"] for r in held.select(F.length("v").alias("n")).distinct().orderBy("n").collect()]
+    return [held.filter(F.length("v") == n) for n in sizes] if len(sizes) > 1 else [held] if sizes else []
+
+
 def matrix(blobs) -> np.ndarray:
     """Rows of doubles from packed vectors."""
     blobs = list(blobs)
