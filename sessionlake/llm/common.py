@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,6 +60,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def hashed_sample(rows: DataFrame, by: str, key: list[str], most: int) -> DataFrame:
+    """Of each value of a column at most so many rows, those with the smallest hashes of key and value.
+
+    Values are counted first, and only rows whose hash is below the share that leaves some 1.5 times as many go on, so what
+    is ranked of a value is bounded whatever its rows.
+    """
+    counts = small(rows.groupBy(by).agg(F.count("*").alias("_of")), 100_000)
+    near = rows.join(counts, by).withColumn("_h", F.pmod(F.xxhash64(*key, by), F.lit(1 << 40)))
+    near = near.filter(F.col("_h") * F.col("_of") <= F.lit(1.5 * most * (1 << 40)))
+    order = Window.partitionBy(by).orderBy("_h", *key)
+    return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most).drop("_n", "_h", "_of")
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; 0 is the held-out fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.common import hashed_sample
+
 #: Buckets of hashed byte n-grams, and labelled documents of a language that the models are fitted on at most.
 BUCKETS, PER_LANGUAGE = 2048, 1000
 #: Families of some languages by ISO 639-1 code; any other language is a family of its own.
@@ -23,7 +25,7 @@ FAMILIES = {
     "indic": ["bn", "gu", "hi", "mr", "ne", "pa", "ur"],
 }
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def features(text: str) -> np.ndarray:
@@ -112,12 +114,13 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Mod
 
     Those with the smallest hashes of doc_id and lang; only they, a bounded number, come to the driver.
     """
-    ids = docs.filter(learn & F.col("lang").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("lang").cast("string").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("_id", "label"), "_id")
-    chosen = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).drop("_n")
+    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.select(F.col("doc_id").alias("_id"), F.col("lang").cast("string").alias("label"), F.col("text").cast("string").alias("_text"))
+    known = known.withColumn("_hash", F.xxhash64("_text"))
+    chosen = hashed_sample(known.select("_id", "_hash", "label"), "label", ["_id", "_hash"], per_language).distinct()
     # per_language rows of some bytes for each language
-    rows = docs.filter("text is not null and lang is not null").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("label")))
-    got = rows.select("label", F.col("text").cast("string")).filter("text rlike '\\\\p{L}'").mapInArrow(_vectors, "label string, x binary").collect()
+    rows = known.alias("k").join(F.broadcast(chosen).alias("c"), F.expr("k._id <=> c._id and k._hash = c._hash and k.label = c.label")).select("k.*").dropDuplicates(["_id", "_hash", "label"]).select("label", "_text")
+    got = rows.filter("_text rlike '\\\\p{L}'").mapInArrow(_vectors, "label string, x binary").collect()
     if not got:
         return Model([], np.empty((0, BUCKETS + 1)), {})
     order_by = sorted(got, key=lambda r: (r["label"], bytes(r["x"])))

@@ -8,9 +8,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.common import hashed_sample, small
+
+#: Ids of labelled documents that may be broadcast, 8 bytes each.
+BROADCAST_ROWS = 1_000_000
 #: Labelled documents of either label that the model is fitted on at most, and preference pairs among them.
 PER_LABEL, PAIRS = 3000, 20_000
 LETTERS = np.zeros(256, bool)
@@ -106,8 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_lab
     known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("label")).distinct()
     known = known if learn is None else known.filter(learn)
     shares = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).select(F.col("doc_id").alias("_id"), "label")
+    chosen = hashed_sample(known, "label", ["doc_id"], per_label).select(F.col("doc_id").alias("_id"), "label")
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # 2 * per_label rows
     got = sorted(((r["label"], bytes(r["x"])) for r in rows.select("label", "text").mapInArrow(_vectors, "label int, x binary").collect()))
     if not got:
@@ -153,5 +156,7 @@ def quantile_threshold(docs: DataFrame, labels: DataFrame, model: Model, learn:
     bad = known.agg(F.avg(1.0 - F.col("label"))).first()[0]
     if bad is None:
         return 0.0
-    found = score(docs.join(known.select("doc_id"), "doc_id", "left_semi"), model).agg(F.percentile_approx("score", float(bad), 10_000)).first()[0]
+    ids = small(known.select(F.col("doc_id").alias("_id")).distinct(), BROADCAST_ROWS)
+    labelled = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    found = score(labelled, model).agg(F.percentile_approx("score", float(bad), 10_000)).first()[0]
     return float(min(max(found if found is not None else 0.0, between[0]), between[1]))
