@@ -158,7 +158,7 @@ def blocks(page: Page, node: Node, template: frozenset[int]) -> list[str]:
     text: list[str] = []
 
     def flush() -> None:
-        line = SPACE.sub(" ", html.unescape("".join(text))).strip()
+        line = SPACE.sub(" ", "".join(text)).strip()
         if line:
             out.append(line)
         text.clear()
@@ -168,7 +168,7 @@ def blocks(page: Page, node: Node, template: frozenset[int]) -> list[str]:
         now, rest, inside = todo[-1]
         for part in rest:
             if not isinstance(part, Node):
-                text.append(part)
+                text.append(html.unescape(part))  # each piece by itself: markup parts references
             elif page.furniture(part, inside) or part.hash in template:
                 if part.tag in BLOCKS:
                     flush()

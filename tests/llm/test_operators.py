@@ -347,3 +347,55 @@ def test_long_lines_are_compared_word_by_word(spark):
         far[k] = word()
     docs = spark.createDataFrame(list(enumerate(map(" ".join, (one, near, far)))), "doc_id long, text string")
     assert [r["n_removed"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 0]
+
+
+def clustered(spark):
+    draw = np.random.default_rng(9)
+    centres = draw.normal(size=(12, 8))
+    x = np.concatenate([c + 0.02 * draw.normal(size=(50, 8)) for c in centres])
+    return spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"), x
+
+
+def test_search_stops_before_far_annuli(spark):
+    df, x = clustered(spark)
+    held = common.stage(topk.packed(df, "vec_id", "embedding", topk.quantise), "vectors")
+    opened = []
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.search(held, 5, 50, 12, 20, opened).collect()}
+    q = np.floor(256 * x)
+    want = {(a, i + 1): (b, int(-s)) for a in range(0, len(q), 50) for i, (s, b) in enumerate(sorted((-(q[a] @ q[b]), b) for b in range(len(q)) if b != a)[:5])}
+    print(f"{opened[0]} of {opened[1]} pairs of a query and an annulus opened")
+    assert got == want and opened[0] < 0.5 * opened[1]
+
+
+def test_grid_order_skips_distant_intervals(spark):
+    df, _ = clustered(spark)
+    held = common.stage(embed_dedup.packed(df, "vec_id", "embedding", embed_dedup.unit), "units").withColumn("n", F.lit(1).cast("long"))
+    eps = np.sqrt(2 - 2 * 0.95)
+    parts = embed_dedup.intervals(held, embed_dedup.principal(embed_dedup.sample(held, 4096)), eps, 25)
+    n = parts.select("interval").distinct().count()
+    pairs = embed_dedup.near_intervals(parts, eps, 8, 1).count()
+    print(f"{pairs} of {n * (n + 1) // 2} pairs of intervals joined")
+    assert pairs < 0.5 * n * (n + 1) / 2
+
+
+def test_vectors_of_unlike_dimensions_and_repeated_ids(spark):
+    rows = [(k, [1.0, 0.1 * k]) for k in range(6)] + [(50, [1.0, 0.0, 0.0]), (51, [1.0, 0.01, 0.0]), (52, [0.0, 0.0, 1.0]), (52, [0.0, 0.0, 1.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame([(a, b, a) for a, b in rows], "vec_id long, embedding array<double>, id long")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in topk.top_k(df).collect()}
+    assert {k: v for k, v in got.items() if k[0] == 50} == {(50, 1): 51, (50, 2): 52, (50, 3): 52} and {k[0] for k in got} == {0, 50}
+    near = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_duplicates(df).filter("vec_id >= 50").collect()}
+    assert near == {50: (1, 50), 51: (1, 50), 52: (2, 52)}
+    assert topk.top_k(df.limit(0)).count() == 0 and embed_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_sample_is_bounded_and_a_digit_is_no_letter(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("label"))
+    assert {r["label"]: r["count"] for r in common.hashed_sample(rows, "label", ["k"], 500).groupBy("label").count().collect()} == {"a": 500, "b": 500}
+    docs = spark.createDataFrame([(k, t, "aa", 1, 2) for k, t in enumerate(["some words", "other words", "\u00bd\u00b2", "\u2167", None])] + [(None, "no id", "aa", 1, 2)], "doc_id long, text string, lang string, label long, _id long")
+    got = langid.predict(docs, langid.fit(docs, F.lit(True))).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == ["aa", "aa", "aa", "und", "und", "und"]
+    assert langid.keep(docs, langid.fit(docs, F.lit(True))).columns == docs.columns
+
+
+def test_markup_parts_character_references(spark):
+    assert texts_of(spark, ["<p>a &am<b>p;</b> b &amp; c</p>"]) == ["a &amp; b & c"]
