@@ -63,3 +63,33 @@ def prompt(template: str, **values: Column) -> Column:
     for name, value in values.items():
         out = F.replace(out, F.lit("{" + name + "}"), value)
     return out
+
+
+def is_channel(name: Column) -> Column:
+    """CH and digits."""
+    return name.rlike("^CH[0-9]+$")
+
+
+def is_offset(name: Column) -> Column:
+    return F.endswith(name, F.lit("_offset_ms"))
+
+
+def channel_or_zero(channels: Column, number: Column) -> Column:
+    """A channel of a map by its number, or 0."""
+    return F.coalesce(F.try_element_at(channels, number), F.lit(0.0))
+
+
+def fixed_text(value: Column, places: int = 6) -> Column:
+    """A number with so many decimals; whole ones and ends without zeros."""
+    return F.regexp_replace(F.regexp_replace(F.format_string(f"%.{places}f", value), "0+$", ""), r"\.$", "")
+
+
+def positional(cells: Column, places: dict[str, int], least: int) -> list[Column]:
+    """Numbers from the cells of a row by their place; all null for a row with fewer cells than `least`."""
+    return [F.when(F.size(cells) >= least, safe_float(F.get(cells, F.lit(k)))).alias(name) for name, k in places.items()]
+
+
+def channels_of(cells: Column, first: int, count: int) -> Column:
+    """The whole numbers of `count` cells from `first` on; null unless every one is there and is a number."""
+    numbers = F.transform(F.slice(cells, first + 1, count), lambda c: safe_int(c))
+    return F.when((F.size(numbers) == count) & F.forall(numbers, lambda x: x.isNotNull()), numbers)

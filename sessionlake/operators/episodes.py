@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlake.functions import parse
+
 
 def steps(rows: DataFrame, episode: str, order: str, state: str, least: int = 2) -> DataFrame:
     """Steps of episodes of at least two rows: step, is_first, is_last, action (next state - state; zeros at the end)."""
@@ -86,3 +88,55 @@ def intersection(stems: DataFrame, keys: list[str], stream: str, required: int)
 def missing_ids(rows: DataFrame, by: str, number: str) -> DataFrame:
     """Ids between the smallest and the largest that are absent: missing (how many)."""
     return rows.groupBy(by).agg((F.max(number) - F.min(number) + 1 - F.countDistinct(number)).cast("long").alias("missing"))
+
+
+def semi_on_stem(rows: DataFrame, files: DataFrame, path: str, stem: str) -> DataFrame:
+    """Rows whose stem a file has: its name without folders and the last ending."""
+    stems = files.select(F.regexp_extract(path, r"([^/]*?)(?:\.[^./]*)?$", 1).alias(stem)).distinct()
+    return rows.join(stems, stem, "left_semi")
+
+
+def image_order(name: Column) -> list[Column]:
+    """Sort keys of images: by number where the stem is one, others last, then by name."""
+    stem = F.regexp_extract(name, r"([^/]*?)(?:\.[^./]*)?$", 1)
+    return [F.coalesce(stem.try_cast("long"), F.lit(10**12)), name]
+
+
+def first_of_each(rows: DataFrame, by: list[str], order: list, most: int) -> DataFrame:
+    """The first rows of each bucket, for reports."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_n") <= most).drop("_n")
+
+
+def newest(sessions: DataFrame, name: str, most: int) -> DataFrame:
+    """The newest sessions, whose names begin with their time."""
+    return sessions.orderBy(F.desc(name)).limit(most)
+
+
+def present_lists(rows: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """Sorted distinct values of columns, per group."""
+    return rows.groupBy(by).agg(*(F.array_sort(F.collect_set(c)).alias(c) for c in columns))
+
+
+def clock_offset(rows: DataFrame, by: str, order: str, host: str, sensor: str, head: int = 100) -> DataFrame:
+    """Median of host minus sensor clock over each session's first rows."""
+    return first_of_each(rows, [by], [order], head).groupBy(by).agg(F.median(F.col(host) - F.col(sensor)).alias("offset"))
+
+
+def without_arm(joints: Column) -> Column:
+    """Joints, or six zeros where there are none."""
+    return F.coalesce(F.when(F.size(joints) > 0, joints), F.array(*[F.lit(0.0)] * 6))
+
+
+def sorted_series(rows: DataFrame, by: str, text: str, arrival: str = "arrival") -> DataFrame:
+    """Whole-number timestamps of text cells: those that are none go, of equal ones the first to arrive stays; by, t, pos."""
+    t = parse.safe_int(F.col(text))
+    first = rows.withColumn("t", t).filter("t is not null").groupBy(by, "t").agg(F.min(arrival).alias("_a"))
+    return first.withColumn("pos", F.row_number().over(Window.partitionBy(by).orderBy("t"))).drop("_a")
+
+
+def merged_windows(parts: list[DataFrame], info: list[str]) -> DataFrame:
+    """Windows of several sources in one table, with the session columns that each has and null for others."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select(*info, *(c for c in out.columns if c not in info))

@@ -29,7 +29,19 @@ STREAM_RULES = (
     Rule("low_frequency", "warn", "hz_mean < min_hz", "n"),
     Rule("adc_out_of_range", "warn", "bad_values > 0", "bad_values"),
     Rule("missing_required_modality", "error", "required and not present"),
+    Rule("csv_decode_error", "error", "undecodable"),
+    Rule("csv_parse_error", "error", "unparsable and not undecodable"),
+    Rule("nonstandard_pressure_schema", "warn", "modality = 'pressure' and (channels <> 20 or missing_channels > 0 or extra_channels > 0)", "channels"),
+    Rule("large_sync_offset", "warn", "modality = 'aligned_timesteps' and rows_over_offset > 0", "rows_over_offset"),
 )
+#: Rules of image folders and of JSON files.
+IMAGE_RULES = (
+    Rule("empty_image_dir", "error", "present and images = 0"),
+    Rule("zero_size_files", "error", "zero_size > 0", "zero_size"),
+    Rule("missing_frame_ids", "warn", "missing_ids > 0", "missing_ids"),
+    Rule("low_frequency", "warn", "hz_mean < min_hz", "images"),
+)
+JSON_RULES = (Rule("json_parse_error", "error", "unparsable"),)
 #: Session rules: frames, images and layout.
 SESSION_RULES = (
     Rule("unknown_session_layout", "error", "data_format = 'unknown'"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.functions import parse
-from sessionlake.operators import clean, episodes, geometry, rules, trajectory
+from sessionlake.operators import clean, episodes, geometry, manifest, rules, trajectory
 from sessionlake.plans.registry import EV, events, of, query, r6, table
 from sessionlake.session import shared_folder
 from sessionlake.streaming import operators as streaming
@@ -37,11 +37,9 @@ def classify_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     t as (select distinct c.c_name from customer c join m using (c_nationkey) where c.c_name between m.b and m.e) select c_custkey, c_name in (select c_name from t) as tagged from customer""")
 def begin_end_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names between each parent's begin and end marker are tagged wherever they occur."""
+    mark = (F.col("c_custkey") % 7 == 1) & (F.col("c_mktsegment") == "BUILDING")
     c = table(spark, sf_dir, "customer")
-    mark = F.when(F.col("c_custkey") % 7 == 1, F.col("c_name"))
-    marks = c.filter("c_mktsegment = 'BUILDING'").groupBy("c_nationkey").agg(F.min(mark).alias("b"), F.max(mark).alias("e"))
-    names = c.join(marks, "c_nationkey").filter(F.col("c_name").between(F.col("b"), F.col("e"))).select("c_name").distinct().withColumn("tagged", F.lit(True))
-    return c.join(names, "c_name", "left").select("c_custkey", F.coalesce("tagged", F.lit(False)).alias("tagged"))
+    return manifest.begin_end(c, "c_nationkey", "c_name", mark).select("c_custkey", "tagged")
 
 
 @query("""select o_orderkey, o_totalprice > 50000 as visual_ok, o_orderstatus <> 'F' as sensors_ok, o_totalprice > 50000 and o_orderstatus <> 'F' as usable,
@@ -55,8 +53,7 @@ def usability_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("with r as (select unnest(['http://', 'http://th', 'http://a', 'https://', 'https://e']) as root) select page_id, max_by(root, length(root)) as root from pages join r on starts_with(url, root) group by 1")
 def root_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest of a few configured roots that a path begins with."""
-    roots = ["http://", "http://th", "http://a", "https://", "https://e"]
-    longest = F.coalesce(*(F.when(F.startswith(F.col("url"), F.lit(r)), r) for r in sorted(roots, key=len, reverse=True)))
+    longest = manifest.deepest_root(F.col("url"), ["http://", "http://th", "http://a", "https://", "https://e"])
     return table(spark, sf_dir, "pages").select("page_id", longest.alias("root")).filter("root is not null")
 
 

@@ -20,4 +20,6 @@ def ensure_importable(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/") if found else "file://" + tempfile.mkdtemp(prefix="sessionlake-")

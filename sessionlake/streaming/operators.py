@@ -68,3 +68,16 @@ def run_to_table(stream: DataFrame, folder: str, mode: str = "complete") -> Data
 def write_versions(stream: DataFrame, path: str, checkpoint: str, seconds: float = 0.1):
     """Micro-batches to Parquet at a fixed interval: the buffered appends of live collection."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=f"{int(seconds * 1000)} milliseconds").start()
+
+
+def latest_values(stream: DataFrame, key: str, time: str, columns: list[str]) -> DataFrame:
+    """The newest row of each key so far."""
+    return stream.groupBy(key).agg(F.max_by(F.struct(*columns), time).alias("l")).select(key, *(F.col(f"l.{c}").alias(c) for c in columns))
+
+
+def pair_rate(stream: DataFrame, width: str, device: str, first: str, second: str) -> DataFrame:
+    """Complete pairs of two devices in windows: the smaller of their counts, 0 where one sends nothing."""
+    count = {k: F.count_if(F.col(device) == v) for k, v in (("a", first), ("b", second))}
+    found = stream.groupBy(F.window("event_time", width)).agg(count["a"].alias("a"), count["b"].alias("b"))
+    span = (F.unix_micros("window.end") - F.unix_micros("window.start")) / 1e6
+    return found.select(F.unix_micros("window.start").alias("start_us"), F.least("a", "b").alias("pairs"), (F.least("a", "b") / span).alias("hz"))

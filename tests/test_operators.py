@@ -125,7 +125,7 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, "train"), ("a", 2, "train"), ("b", 1, "unknown")], "session string, updated int, split string")
     assert sinks.write_version(df, str(tmp_path / "v"), apply=False) is None
     assert spark.read.parquet(sinks.write_version(df, str(tmp_path / "v"))).count() == 3
-    sinks.write_split_views(df, str(tmp_path / "s"))
+    sinks.write_split_views(df, str(tmp_path / "s"), splits=("train", "val", "test"))
     assert spark.read.parquet(str(tmp_path / "s" / "splits")).count() == 2
     assert {(r["session"], r["updated"]) for r in sinks.latest(df, "session", "updated").collect()} == {("a", 2), ("b", 1)}
     sinks.write_reports(df, df, df, str(tmp_path / "r"))
