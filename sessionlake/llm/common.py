@@ -73,6 +73,23 @@ def hashed_sample(rows: DataFrame, by: str, key: list[str], most: int) -> DataFr
     return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most).drop("_n", "_h", "_of")
 
 
+def range_column(df: DataFrame, column: str, n: int, name: str) -> DataFrame:
+    """df with each row's number of about n ranges of a numeric column, ascending, by approximate quantiles.
+
+    Equal values share a range, nulls are in range -1. Only the n bounds come to the driver.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    cuts = df.select(F.percentile_approx(column, [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("c")).first()["c"] if n > 1 else None
+    bounds = sorted({float(c) for c in cuts or ()})
+    null = F.col(column).isNull()
+    if not bounds:
+        return df.withColumn(name, F.when(null, -1).otherwise(0))
+    ranged = df.withColumn(f"_{name}_of", F.coalesce(F.col(column).cast("double"), F.lit(0.0)))
+    ranged = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol=f"_{name}_of", outputCol=f"_{name}_at").transform(ranged)
+    return ranged.withColumn(name, F.when(null, -1).otherwise(F.col(f"_{name}_at").cast("int"))).drop(f"_{name}_of", f"_{name}_at")
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text modulo 5; 0 is the held-out fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
