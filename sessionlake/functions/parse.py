@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Cells that count as empty.
 BLANK = ("", "nan", "null", "none")
 
+#: The 20 channels of the 64 that a tactile sensor has, in the order of their columns.
+VALID_CHANNELS = (51, 50, 63, 60, 57, 64, 61, 58, 49, 62, 59, 47, 44, 41, 48, 45, 42, 33, 46, 43)
+
 
 def safe_float(c: Column) -> Column:
     """A number, or null for what is none, NaN or infinite."""

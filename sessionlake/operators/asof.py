@@ -13,20 +13,76 @@ SAMPLE = "struct<t:bigint,row_index:bigint,value:double,code:bigint>"
 TOLERANCE_US = 50_000
 
 
-def brackets(frames: DataFrame, streams: dict[str, DataFrame], by: str = "session") -> DataFrame:
-    """Frames with <name>_lo (last sample strictly before t) and <name>_hi (first sample at or after t) per stream."""
+def _samples(frames: DataFrame, streams: dict[str, DataFrame], by: str) -> DataFrame:
+    """Frames (_frame 1) and all streams' samples (_frame 0) in one table, a column for each stream."""
     none = [F.lit(None).cast(SAMPLE).alias(name) for name in streams]
     rows = frames.select(by, "t", "row_index", F.lit(1).alias("_frame"), *none)
     for name, samples in streams.items():
         own = F.struct(F.col("t").cast("long").alias("t"), F.col("row_index").cast("long").alias("row_index"), F.col("value").cast("double").alias("value"), F.col("code").cast("long").alias("code"))
         columns = [own.alias(n) if n == name else F.lit(None).cast(SAMPLE).alias(n) for n in streams]
         rows = rows.unionByName(samples.filter("t is not null").select(by, "t", "row_index", F.lit(0).alias("_frame"), *columns))
+    return rows
+
+
+def _filled(rows: DataFrame, names: list[str], keys: list[str], edge: list[str]) -> DataFrame:
+    """<name>_lo and <name>_hi of frames within the rows of the same keys; edge columns come before t in the order."""
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    up = Window.partitionBy(by).orderBy("t", F.desc("_frame"), "row_index").rowsBetween(*so_far)
-    down = Window.partitionBy(by).orderBy(F.desc("t"), "_frame", F.desc("row_index")).rowsBetween(*so_far)
-    found = rows.select(by, "t", "row_index", "_frame", *(F.last(n, True).over(up).alias(f"{n}_lo") for n in streams), *streams)
-    found = found.select(by, "t", "row_index", "_frame", *(f"{n}_lo" for n in streams), *(F.last(n, True).over(down).alias(f"{n}_hi") for n in streams))
-    return found.filter("_frame = 1").drop("_frame")
+    up = Window.partitionBy(*keys).orderBy(*edge, "t", F.desc("_frame"), "row_index").rowsBetween(*so_far)
+    down = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in edge), F.desc("t"), "_frame", F.desc("row_index")).rowsBetween(*so_far)
+    kept = [*keys, "t", "row_index", "_frame", *edge]
+    found = rows.select(*kept, *(F.last(n, True).over(up).alias(f"{n}_lo") for n in names), *names)
+    found = found.select(*kept, *(f"{n}_lo" for n in names), *(F.last(n, True).over(down).alias(f"{n}_hi") for n in names))
+    return found.filter("_frame = 1").drop("_frame", *edge)
+
+
+def brackets(frames: DataFrame, streams: dict[str, DataFrame], by: str = "session") -> DataFrame:
+    """Frames with <name>_lo (last sample strictly before t) and <name>_hi (first sample at or after t) per stream."""
+    return _filled(_samples(frames, streams, by), list(streams), [by], [])
+
+
+#: Cells of time that one cell of the next coarser level holds, as a power of two, and how many coarser levels there are.
+FAN_BITS, LEVELS = 10, 2
+
+
+def _carried(cells: DataFrame, names: list[str], levels: int = LEVELS) -> DataFrame:
+    """_by and cell with <name>_before, the last sample of earlier cells, and <name>_after, the first of later ones.
+
+    A scan in levels: cells within a coarser one, those within a yet coarser one, and so on, so no window holds more than
+    1024 cells but the last, which holds one row for each million cells.
+    """
+    keys = ["_by", "_up"] if levels else ["_by"]
+    rows = cells.withColumn("_up", F.shiftright("cell", FAN_BITS))
+    earlier = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.select("*", *(F.last(f"{n}_last", True).over(earlier).alias(f"{n}_before") for n in names))
+    found = found.select("*", *(F.last(f"{n}_first", True).over(later).alias(f"{n}_after") for n in names))
+    if not levels:
+        return found
+    coarse = rows.groupBy("_by", F.col("_up").alias("cell")).agg(*(F.min(f"{n}_first").alias(f"{n}_first") for n in names), *(F.max(f"{n}_last").alias(f"{n}_last") for n in names))
+    above = _carried(coarse, names, levels - 1).select(F.col("_by").alias("_b"), F.col("cell").alias("_u"), *(F.col(f"{n}_{k}").alias(f"_{n}_{k}") for n in names for k in ("before", "after")))
+    met = found.join(above, F.col("_by").eqNullSafe(F.col("_b")) & F.col("_up").eqNullSafe(F.col("_u")))
+    return met.select("_by", "cell", *(F.coalesce(f"{n}_{k}", f"_{n}_{k}").alias(f"{n}_{k}") for n in names for k in ("before", "after")))
+
+
+def bucketed_brackets(frames: DataFrame, streams: dict[str, DataFrame], cell_us: int, by: str = "session") -> DataFrame:
+    """brackets for sessions of any length: a window holds one cell of time of one session, never a whole session.
+
+    Each cell's first and last samples are summed up (a row a cell and task is shuffled), a scan over those carries the
+    last one of the cells before and the first one of the cells after into every cell, and the windows start and end with
+    them. A session that holds most rows is spread over as many tasks as it has cells; choose cell_us so that a
+    cell has some 10^4 to 10^6 rows. A frame without a time has no brackets. The inputs are read twice.
+    """
+    names = list(streams)
+    t = F.col("t").cast("long")
+    rows = _samples(frames, streams, by).withColumn("cell", F.call_function("div", t - F.pmod(t, F.lit(cell_us).cast("long")), F.lit(cell_us).cast("long")))
+    cells = rows.filter("cell is not null").groupBy(F.col(by).alias("_by"), "cell").agg(*(F.min(n).alias(f"{n}_first") for n in names), *(F.max(n).alias(f"{n}_last") for n in names))
+    carried = _carried(cells, names)
+    ends = [
+        carried.select(F.col("_by").alias(by), F.lit(None).cast("long").alias("t"), F.lit(None).cast("long").alias("row_index"), F.lit(0).alias("_frame"), *(F.col(f"{n}_{k}").alias(n) for n in names), "cell", F.lit(e).alias("_edge"))
+        for k, e in (("before", -1), ("after", 1))
+    ]
+    whole = rows.withColumn("_edge", F.lit(0)).unionByName(ends[0]).unionByName(ends[1])
+    return _filled(whole, names, [by, "cell"], ["_edge"]).drop("cell")
 
 
 def nearest(name: str) -> Column:

@@ -18,13 +18,18 @@ def steps(rows: DataFrame, episode: str, order: str, state: str, least: int = 2)
     return out.withColumn("is_first", F.col("step") == 0).withColumn("is_last", F.col("step") == F.col("_n") - 1).drop("_n")
 
 
+def number_rows(rows: DataFrame, order: list[str], name: str = "_n", buckets: int | None = None) -> DataFrame:
+    """Numbers from 0 over all rows in order, without ranking them in one task: ranks within ranges plus the ranges' starts."""
+    ranged = rows.repartitionByRange(*([buckets] if buckets else []), *order).withColumn("_p", F.spark_partition_id())
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_c"))
+    sizes = sizes.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
+    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
+    return local.join(F.broadcast(sizes), "_p").withColumn(name, F.col("_r") + F.col("_before")).drop("_p", "_r", "_before")
+
+
 def number_episodes(episodes: DataFrame, order: str, buckets: int = 1024) -> DataFrame:
-    """episode_id from 0 in order, without ranking all rows in one task: ranks within ranges plus the ranges' starts."""
-    ranged = episodes.repartitionByRange(buckets, order).withColumn("_p", F.spark_partition_id())
-    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
-    sizes = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
-    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1)
-    return local.join(F.broadcast(sizes), "_p").withColumn("episode_id", F.col("_r") + F.col("_before")).drop("_p", "_r", "_before")
+    """episode_id from 0 in order."""
+    return number_rows(episodes, [order], "episode_id", buckets)
 
 
 def gather(left: DataFrame, index: str, values: DataFrame, keys: list[str], columns: list[str], default: float = 0.0) -> DataFrame:

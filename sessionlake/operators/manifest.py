@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions import parse
+from sessionlake.operators.episodes import number_rows
 
 #: Layouts of the older recordings, and splits in the order of their views.
 LEGACY = ("legacy_dji_realsense", "legacy_dji_realsense_rgb_only")
@@ -29,6 +30,22 @@ def deepest_root(path: Column, roots: list[str]) -> Column:
     return F.coalesce(*(F.when(F.startswith(path, F.lit(r)), r) for r in sorted(roots, key=len, reverse=True)))
 
 
+def mapped_roots(paths: DataFrame, key: str, path: str, roots: DataFrame, root: str) -> DataFrame:
+    """key, path and the deepest root that holds the path: itself or a folder above it; without one, its parent folder.
+
+    Roots are a table of any size: a path's ancestors (as many as it has parts) meet the roots that equal them by their hash,
+    no prefix is compared with every root. A slash at the end of a root doesn't count; null paths and roots match nothing.
+    Keys are unique.
+    """
+    parts = F.split(F.regexp_replace(path, "/+$", ""), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    ancestors = paths.filter(F.col(path).isNotNull()).select(F.col(key), F.explode(above).alias("_a"))
+    known = roots.select(F.regexp_replace(root, "/+$", "").alias("_a")).filter("_a is not null").distinct()
+    best = ancestors.join(known, "_a").groupBy(key).agg(F.max_by("_a", F.length("_a")).alias("root"))
+    parent = F.regexp_replace(F.regexp_replace(path, "/+$", ""), "/[^/]*$", "")
+    return paths.select(key, path).join(best, key, "left").withColumn("root", F.coalesce("root", parent))
+
+
 def begin_end(sessions: DataFrame, parent: str, name: str, mark: Column) -> DataFrame:
     """Adds tagged: the name lies between the least and the largest marked name of some parent."""
     marks = sessions.groupBy(parent).agg(F.min(F.when(mark, F.col(name))).alias("_b"), F.max(F.when(mark, F.col(name))).alias("_e"))
@@ -73,8 +90,8 @@ def sheet_sessions(sessions: DataFrame, sheets: DataFrame) -> DataFrame:
     A sheet is a run of its split's sessions in the order of date, time and name; ok tells whether it begins and ends
     with the sessions that it names and has all its rows. A sheet whose first session isn't there gives no row.
     """
-    order = Window.partitionBy("split").orderBy("date", "time", "session")
-    ranked = sessions.withColumn("_n", F.row_number().over(order)).select("split", "session", "_n")
+    # numbered over all splits by ranges; a sheet's rows follow each other within its split
+    ranked = number_rows(sessions.select("split", "date", "time", "session"), ["split", "date", "time", "session"]).select("split", "session", "_n")
     starts = sheets.join(ranked.withColumnRenamed("session", "start_session").withColumnRenamed("_n", "_s"), ["split", "start_session"])
     # the places of a sheet, then an equal join: no range join
     places = starts.withColumn("row", F.explode(F.expr("sequence(1, cast(session_count as int))"))).withColumn("_n", F.col("_s") + F.col("row") - 1)

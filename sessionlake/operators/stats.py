@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlake.session import stage
+
 
 def deltas(stream: DataFrame, by: list[str], arrival: str = "arrival") -> DataFrame:
     """Adds delta, t minus the t of the row that came before."""
@@ -41,17 +43,47 @@ def reordered(stream: DataFrame, by: str, arrival: str = "arrival") -> DataFrame
     return came.join(order, [by, "pos"]).groupBy(by).agg(F.count_if(F.col("t") != F.col("sorted_t")).alias("rows_reordered"))
 
 
-def floor_percentile(values: Column, share: float) -> Column:
-    """sorted[int(n * share)], the index rounded down; a session's offsets are gathered for it."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.get(ordered, F.floor(F.size(ordered) * F.lit(share)).cast("int"))
+#: Values of a group that are sorted at once, and ranges that a pass counts.
+SORTED, RANGES = 4096, 1024
+
+
+def floor_percentile(values: DataFrame, by: str, value: str, share: float) -> DataFrame:
+    """by and value: sorted[int(n * share)] of each group's finite values, exactly, however many they are.
+
+    Passes count a group's values in equal ranges between its bounds and keep the range that holds the wanted place,
+    until at most SORTED values are left, or equal ones; those are sorted. A pass is a partial aggregate, so no group
+    meets in one task. Nulls, NaN and infinite values don't count.
+    """
+    number = F.col(value).cast("double")
+    left = stage(values.select(by, number.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))), "values")
+    n = F.count("*")
+    at = stage(left.groupBy(by).agg(F.least(F.floor(n * F.lit(share)), n - 1).alias("_k"), n.alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "places")
+    found = None
+    while True:
+        done = F.col("_lo") == F.col("_hi")
+        small = (F.col("_n") <= SORTED) & ~done
+        equal = at.filter(done).select(by, F.col("_lo").alias(value))
+        near = left.join(at.filter(small), by).groupBy(by).agg(F.get(F.sort_array(F.collect_list("_v")), F.any_value("_k").cast("int")).alias(value))
+        found = equal.union(near) if found is None else found.union(equal).union(near)
+        large = at.filter(~done & ~small)
+        if large.isEmpty():
+            return found
+        place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * RANGES)
+        ranged = left.join(large, by).withColumn("_r", F.least(F.lit(RANGES - 1), place))
+        counts = ranged.groupBy(by, "_r").agg(F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.any_value("_k").alias("_k"))
+        before = F.coalesce(F.sum("_c").over(Window.partitionBy(by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most RANGES rows
+        chosen = counts.withColumn("_b", before).filter((F.col("_k") >= F.col("_b")) & (F.col("_k") < F.col("_b") + F.col("_c")))
+        at = stage(chosen.select(by, (F.col("_k") - F.col("_b")).alias("_k"), F.col("_c").alias("_n"), "_lo", "_hi"), "places")
+        left = stage(left.join(at.select(by, "_lo", "_hi"), by).filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).select(by, "_v"), "values")
 
 
 def offset_quality(offsets: DataFrame, by: str, over_ms: float = 10.0) -> DataFrame:
     """mean, p95 (floor index), largest |offset_ms| and rows over the limit."""
-    a = F.abs("offset_ms")
-    return offsets.filter("offset_ms is not null").groupBy(by).agg(
-        F.count("*").alias("n"), F.avg(a).alias("mean_ms"), floor_percentile(a, 0.95).alias("p95_ms"), F.max(a).alias("max_ms"), F.count_if(a > over_ms).alias("n_over"))
+    sizes = stage(offsets.filter("offset_ms is not null").select(by, F.abs("offset_ms").alias("_a")), "offsets")
+    a = F.col("_a")
+    sums = sizes.groupBy(by).agg(F.count("*").alias("n"), F.avg(a).alias("mean_ms"), F.max(a).alias("max_ms"), F.count_if(a > over_ms).alias("n_over"))
+    p95 = floor_percentile(sizes, by, "_a", 0.95).withColumnRenamed("_a", "p95_ms")
+    return sums.join(p95, by, "left").select(by, "n", "mean_ms", "p95_ms", "max_ms", "n_over")
 
 
 def channels_long(wide: DataFrame, keys: list[str], channels: list[str]) -> DataFrame:

@@ -55,6 +55,25 @@ def sync_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bracketed(spark, sf_dir, list(STREAMS)).select("session", "row_index", *columns)
 
 
+@query(f"""with {EV}, {F_SQL}, {", ".join(map(_nearest_sql, STREAMS))}
+    select f.session, f.row_index, {", ".join(f"{n}.idx as {n}_index, {n}.dt as {n}_dt_us, {n}.valid as {n}_valid" for n in STREAMS)}
+    from f {" ".join(f"join {n} on {n}.row_index = f.row_index" for n in STREAMS)}""")
+def sync_index_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sync index by cells of a day, for sessions that are too long for one window."""
+    e = events(spark, sf_dir)
+    found = asof.bucketed_brackets(of(e, "view"), {n: of(e, m) for n, m in STREAMS.items()}, DAY_US)
+    return found.select("session", "row_index", *(c for n in STREAMS for c in asof.nearest_columns(n, DAY_US)))
+
+
+@query(f"""with {EV}, {F_SQL}, {_bracket_sql('robot')} select session, row_index, round(v, 6) as value,
+    round(coalesce(lo_c + (hi_c - lo_c) * ((t - lo_t) / (hi_t - lo_t)), lo_c, hi_c)::double, 6) as code, round((coalesce(lo_t, hi_t) - t) / 1000.0::double, 3) as offset_ms from robot""")
+def interp_mixed_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """interp_mixed by cells of six hours."""
+    e = events(spark, sf_dir)
+    found = asof.bucketed_brackets(of(e, "view"), {"robot": of(e, "click")}, DAY_US // 4)
+    return found.select("session", "row_index", F.round(asof.interpolated("robot"), 6).alias("value"), F.round(asof.interpolated_code("robot"), 6).alias("code"), F.round(asof.offset_ms("robot", "before"), 3).alias("offset_ms"))
+
+
 @query(f"""with {EV}, {F_SQL}, {_nearest_sql('robot')} select f.session, count(*)::bigint as frames, sum(valid)::bigint as valid_frames,
     round(avg(case when dt <> 0 then abs(dt) end), 3) as mean_abs_dt_us, max(case when dt <> 0 then abs(dt) end)::bigint as max_abs_dt_us, sum(idx)::bigint as idx_sum
     from f join robot using (row_index) group by f.session""")

@@ -1,11 +1,12 @@
-"""Sessions."""
+"""Sessions, the folder that a cluster shares, and tables staged there."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_importable(spark: SparkSession) -> None:
@@ -18,8 +19,22 @@ def ensure_importable(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one local folder a session where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return found.rstrip("/") if found else "file://" + tempfile.mkdtemp(prefix="sessionlake-")
+    if found:
+        return found.rstrip("/")
+    folder = getattr(spark, "_sessionlake_folder", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="sessionlake-")
+        spark.sparkContext.setCheckpointDir(folder)
+        spark._sessionlake_folder = folder
+    return folder
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it again: cuts the lineage and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
