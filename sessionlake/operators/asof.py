@@ -102,6 +102,11 @@ def nearest_columns(name: str, tolerance_us: int = TOLERANCE_US) -> list[Column]
     ]
 
 
+def clipped_index(name: str) -> Column:
+    """row_index of the first sample at or after t, the last sample's for a frame after all."""
+    return F.coalesce(F.col(f"{name}_hi")["row_index"], F.col(f"{name}_lo")["row_index"])
+
+
 def interpolated(name: str) -> Column:
     """value on the line between the bracketing samples; at the edges that of the only one."""
     lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")

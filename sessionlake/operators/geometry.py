@@ -85,3 +85,49 @@ def info_nce(pairs: DataFrame, batch: str, item: str, anchor: str, positive: str
     cols = F.log(F.sum(F.exp("l")).over(Window.partitionBy(batch, "j")))
     loss = logits.withColumn("row", rows - F.col("l")).withColumn("col", cols - F.col("l")).filter("i = j")
     return loss.groupBy(batch).agg(F.count("*").alias("n"), ((F.avg("row") + F.avg("col")) / 2).alias("loss"))
+
+
+def _unit(c: str) -> Column:
+    return F.transform(c, lambda x: x / F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, y: a + y * y)))
+
+
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def cross_entropy(logits: DataFrame, group: list[str], logit: str, wanted: str) -> DataFrame:
+    """group and loss: the log of the summed exponentials less the wanted one's logit, steady for large logits."""
+    top = logits.groupBy(*group).agg(F.max(logit).alias("_top"), F.max(F.when(F.col(wanted), F.col(logit))).alias("_want"))
+    sums = logits.join(top, group).groupBy(*group).agg(F.sum(F.exp(F.col(logit) - F.col("_top"))).alias("_sum"), F.first("_top").alias("_top"), F.first("_want").alias("_want"))
+    return sums.select(*group, (F.log("_sum") + F.col("_top") - F.col("_want")).alias("loss"))
+
+
+def gathered_info_nce(points: DataFrame, patches: DataFrame, batch: str, point: str, patch: str, feature: str, valid: Column, temperature: float = 0.07) -> DataFrame:
+    """Contrastive loss of points against the patches that they fall on: batch, n, loss.
+
+    A valid point's positive is the patch of its number; the others are those of the batch's other valid points, two
+    points of one patch too. Batches are bounded by what one training step holds; one without a valid point gives no row.
+    """
+    found = points.filter(valid).select(batch, F.col(point).alias("i"), patch, _unit(feature).alias("a"))
+    target = patches.select(batch, patch, _unit(feature).alias("p"))
+    met = found.join(target, [batch, patch]).select(batch, "i", "a", "p")
+    pairs = met.select(batch, "i", "a").join(met.select(batch, F.col("i").alias("j"), "p"), batch)
+    logits = pairs.select(batch, "i", "j", (_dot("a", "p") / temperature).alias("l"), (F.col("i") == F.col("j")).alias("own"))
+    rows, columns = cross_entropy(logits, [batch, "i"], "l", "own"), cross_entropy(logits, [batch, "j"], "l", "own")
+    loss = rows.groupBy(batch).agg(F.count("*").alias("n"), F.avg("loss").alias("_r")).join(columns.groupBy(batch).agg(F.avg("loss").alias("_c")), batch)
+    return loss.select(batch, "n", ((F.col("_r") + F.col("_c")) / 2).alias("loss"))
+
+
+def indexed_info_nce(anchors: DataFrame, candidates: DataFrame, batch: str, item: str, feature: str, number: str, wanted: str, temperature: float = 0.07) -> DataFrame:
+    """Loss of anchors against all candidates of their batch, the wanted one being that of a given number: batch, n, loss."""
+    a = anchors.select(batch, item, wanted, _unit(feature).alias("a"))
+    c = candidates.select(batch, F.col(number).alias("_number"), _unit(feature).alias("p"))
+    logits = a.join(c, batch).select(batch, item, (_dot("a", "p") / temperature).alias("l"), (F.col("_number") == F.col(wanted)).alias("own"))
+    return cross_entropy(logits, [batch, item], "l", "own").groupBy(batch).agg(F.count("*").alias("n"), F.avg("loss").alias("loss"))
+
+
+def tactile_info_nce(anchors: DataFrame, points: DataFrame, patches: DataFrame, batch: str, item: str, feature: str, number: str, temperature: float = 0.07) -> DataFrame:
+    """Mean of a tactile feature's losses against points (wanted: point) and image patches (wanted: patch): batch, n, loss."""
+    to_points = indexed_info_nce(anchors, points, batch, item, feature, number, "point", temperature)
+    to_patches = indexed_info_nce(anchors, patches, batch, item, feature, number, "patch", temperature).select(batch, F.col("loss").alias("_l"))
+    return to_points.join(to_patches, batch).select(batch, "n", ((F.col("loss") + F.col("_l")) / 2).alias("loss"))

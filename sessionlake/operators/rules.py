@@ -93,5 +93,29 @@ def modality_rollup(stats: DataFrame) -> DataFrame:
         F.avg("hz_mean").alias("mean_hz"), F.min("hz_mean").alias("min_hz_seen"), F.max("hz_mean").alias("max_hz_seen"))
 
 
+#: Lowest good and fair values by kind; of errors, for which less is better, what they must stay below.
+BANDS = {"rate_share": (0.9, 0.7), "camera_hz": (27.0, 20.0), "robot_hz": (108.0, None), "gripper_hz": (108.0, None), "pressure_hz": (180.0, 120.0), "success_pct": (80.0, 50.0)}
+ERROR_BANDS = {"reprojection_px": ((0.5,), (1.0,)), "hand_eye": ((2.0, 10.0), (5.0, 30.0))}
+
+
+def status(kind: str, value: Column) -> Column:
+    """good, fair or poor by the kind's table; a kind without a fair value has good and fair only. Null is poor."""
+    good, fair = BANDS[kind]
+    rest = F.lit("fair") if fair is None else F.when(value >= fair, "fair").otherwise("poor")
+    return F.when(value >= good, "good").otherwise(rest)
+
+
+def error_status(kind: str, *values: Column) -> Column:
+    """good, fair or poor: every value below the kind's limits."""
+    out = F.lit("poor")
+    for name, limits in (("fair", ERROR_BANDS[kind][1]), ("good", ERROR_BANDS[kind][0])):
+        below = [v < x for v, x in zip(values, limits, strict=True)]
+        whole = below[0]
+        for b in below[1:]:
+            whole = whole & b
+        out = F.when(whole, name).otherwise(out)
+    return out
+
+
 def band(value: Column, good: float, fair: float) -> Column:
     return F.when(value >= good, "good").when(value >= fair, "fair").otherwise("poor")

@@ -43,6 +43,22 @@ def reordered(stream: DataFrame, by: str, arrival: str = "arrival") -> DataFrame
     return came.join(order, [by, "pos"]).groupBy(by).agg(F.count_if(F.col("t") != F.col("sorted_t")).alias("rows_reordered"))
 
 
+def offset_audit(offsets: DataFrame, by: str, columns: list[str], over_ms: float = 50.0) -> DataFrame:
+    """Of rows with any offset: rows, the largest |offset| of any column, and rows whose own largest is over the limit."""
+    worst = F.array_max(F.array(*(F.abs(c) for c in columns)))
+    rows = offsets.withColumn("_w", worst).filter("_w is not null")
+    return rows.groupBy(by).agg(F.count("*").alias("rows"), F.max("_w").alias("max_abs_ms"), F.count_if(F.col("_w") > over_ms).alias("rows_over"))
+
+
+def null_audit(cells: DataFrame, by: list[str], cell: Column, is_time: Column) -> DataFrame:
+    """Blank cells, as they are counted by the checker: a timestamp that is no number counts, and once more if it is blank."""
+    from sessionlake.functions import parse
+
+    blank = parse.is_blank(cell)
+    unread = is_time & parse.safe_int(cell).isNull()
+    return cells.groupBy(*by).agg(F.count("*").alias("cells"), (F.count_if(blank) + F.count_if(unread)).alias("nulls"))
+
+
 #: Values of a group that are sorted at once, and ranges that a pass counts.
 SORTED, RANGES = 4096, 1024
 

@@ -24,6 +24,14 @@ def episode_stats(rows: DataFrame, by: str, order: str, value: str, tail: int =
         F.max_by(value, order).alias("final"))
 
 
+def success_rates(rows: DataFrame, episode: str, env: str, success: str) -> DataFrame:
+    """Per episode, and per episode and environment: n, successes, failures and success_pct; env is null for the whole episode."""
+    won = F.col(success).cast("int")
+    found = rows.groupingSets([[F.col(episode)], [F.col(episode), F.col(env)]], F.col(episode), F.col(env)).agg(
+        F.grouping_id().alias("_g"), F.count(won).alias("n"), F.sum(won).alias("successes"), (F.avg(won) * 100).alias("success_pct"))
+    return found.select(episode, env, (F.col("_g") > 0).alias("whole"), "n", "successes", (F.col("n") - F.col("successes")).alias("failures"), "success_pct")
+
+
 def phase_spans(rows: DataFrame, by: str, order: str, phase: str) -> DataFrame:
     """Runs of one phase: span, phase, first and last order value, n."""
     w = Window.partitionBy(by).orderBy(order)

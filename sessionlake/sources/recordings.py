@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionlake.session import stage
+
 #: The session folder in a path: the part that holds a camera folder, a sensor file or a log.
 SESSION = r"^(.*?/(session_[^/]+))/"
 
@@ -90,6 +92,47 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.filter(name.rlike(f"^{like}$")).select("path", "length", F.regexp_extract("path", SESSION, 2).alias("session"), F.regexp_extract("path", SESSION, 1).alias("root"))
 
 
+def scan(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """listing() for folders of any depth and shape: path, length, session and root, a level of folders at a time.
+
+    The folders of a level are dealt over tasks, each of which lists single folders, so one deep or very wide tree is no
+    task's alone. Folders are known by their resolved paths: a link to one that has been seen, its own parent too, is not
+    listed again. Folders are tables in the shared folder between levels; nothing of them comes to the driver.
+    """
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for place in batch["path"]:
+                store, inner = fs.FileSystem.from_uri(place) if "://" in place or place.startswith("file:") else (fs.LocalFileSystem(), place)
+                scheme = place[: len(place) - len(inner)]
+                local = isinstance(store, fs.LocalFileSystem)
+                rows = []
+                for f in store.get_file_info(fs.FileSelector(inner)):
+                    folder = f.type == fs.FileType.Directory
+                    rows.append((scheme + (os.path.realpath(f.path) if local and folder else f.path), folder, f.size or 0))
+                yield pd.DataFrame(rows, columns=["path", "folder", "length"])
+
+    level = stage(spark.createDataFrame([(path.rstrip("/"),)], "path string"), "folders")
+    seen, parts = level, []
+    while True:
+        found = stage(level.repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(listed, "path string, folder boolean, length long"), "level")
+        parts.append(found.filter("not folder").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length"))
+        level = stage(found.filter("folder").select("path").distinct().join(seen, "path", "left_anti"), "folders")
+        if level.isEmpty():
+            break
+        seen = seen.union(level)
+    files = parts[0]
+    for p in parts[1:]:
+        files = files.union(p)
+    like = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in glob)
+    files = files.filter(F.regexp_extract("path", "([^/]+)$", 1).rlike(f"^{like}$"))
+    return files.select("path", "length", F.regexp_extract("path", SESSION, 2).alias("session"), F.regexp_extract("path", SESSION, 1).alias("root"))
+
+
 def discover(files: DataFrame) -> DataFrame:
     """Sessions and what they hold: data_format by the camera folders, files, bytes, junk and empty files."""
     from sessionlake.functions.parse import data_format, session_date, session_time
