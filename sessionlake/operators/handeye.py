@@ -4,33 +4,36 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.operators.geometry import trimmed
+from sessionlake.session import stage
 
 #: Below such an angle a motion tells nothing about the rotation.
 LEAST_ANGLE = 1e-6
 
 
-def log_rotation(r: Column) -> list[Column]:
-    """Rotation vector of a matrix given as nine numbers, row by row; for angles below 180 degrees."""
-    at = lambda i, j: F.get(r, F.lit(3 * i + j))
-    angle = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (at(0, 0) + at(1, 1) + at(2, 2) - 1) / 2)))
-    k = F.when(angle < LEAST_ANGLE, F.lit(0.0)).otherwise(angle / (2 * F.sin(angle)))
-    return [k * (at(2, 1) - at(1, 2)), k * (at(0, 2) - at(2, 0)), k * (at(1, 0) - at(0, 1))]
+def _at(r: str, i: int, j: int) -> str:
+    return f"{r}[{3 * i + j}]"
+
+
+def log_rotation(r: str) -> list[str]:
+    """SQL of the rotation vector of a matrix given as nine numbers, row by row; for angles below 180 degrees."""
+    angle = f"acos(least(1D, greatest(-1D, ({_at(r, 0, 0)} + {_at(r, 1, 1)} + {_at(r, 2, 2)} - 1) / 2)))"
+    k = f"if({angle} < {LEAST_ANGLE}, 0D, {angle} / (2 * sin({angle})))"
+    return [f"{k} * ({_at(r, 2, 1)} - {_at(r, 1, 2)})", f"{k} * ({_at(r, 0, 2)} - {_at(r, 2, 0)})", f"{k} * ({_at(r, 1, 0)} - {_at(r, 0, 1)})"]
 
 
 def _moments(pairs: DataFrame, by: str) -> DataFrame:
     """The sums that X depends on: 9 of rotation vectors, 6 + 3 + 27 of the translations' normal equations."""
-    a, b = log_rotation(F.col("ra")), log_rotation(F.col("rb"))
-    c = [[F.get("ra", F.lit(3 * i + j)) - (1.0 if i == j else 0.0) for j in range(3)] for i in range(3)]
-    ta, tb = ([F.get(n, F.lit(k)) for k in range(3)] for n in ("ta", "tb"))
-    sums = {f"m{i}{j}": b[i] * a[j] for i in range(3) for j in range(3)}
-    sums |= {f"n{i}{j}": c[0][i] * c[0][j] + c[1][i] * c[1][j] + c[2][i] * c[2][j] for i in range(3) for j in range(i, 3)}
-    sums |= {f"d{i}": c[0][i] * ta[0] + c[1][i] * ta[1] + c[2][i] * ta[2] for i in range(3)}
-    sums |= {f"w{i}{j}{k}": c[j][i] * tb[k] for i in range(3) for j in range(3) for k in range(3)}
-    return pairs.groupBy(by).agg(F.count("*").alias("n"), *(F.sum(x).alias(k) for k, x in sums.items()))
+    turns = pairs.select(by, "ra", "ta", "tb", *(F.expr(f"array({', '.join(log_rotation(r))})").alias(k) for r, k in (("ra", "_a"), ("rb", "_b"))))
+    c = [[f"({_at('ra', i, j)} - {int(i == j)})" for j in range(3)] for i in range(3)]
+    sums = {f"m{i}{j}": f"_b[{i}] * _a[{j}]" for i in range(3) for j in range(3)}
+    sums |= {f"n{i}{j}": " + ".join(f"{c[k][i]} * {c[k][j]}" for k in range(3)) for i in range(3) for j in range(i, 3)}
+    sums |= {f"d{i}": " + ".join(f"{c[k][i]} * ta[{k}]" for k in range(3)) for i in range(3)}
+    sums |= {f"w{i}{j}{k}": f"{c[j][i]} * tb[{k}]" for i in range(3) for j in range(3) for k in range(3)}
+    return turns.groupBy(by).agg(F.expr("count(*) as n"), *(F.expr(f"sum({x}) as {k}") for k, x in sums.items()))
 
 
 def _solved(sums: DataFrame, by: str) -> DataFrame:
@@ -63,26 +66,26 @@ def solve(pairs: DataFrame, by: str) -> DataFrame:
 
 def residuals(pairs: DataFrame, solved: DataFrame, by: str) -> DataFrame:
     """Samples with rot_deg and trans, how far A X is from X B, and score = rot_deg + 100 * trans (translations in metres)."""
-    x = pairs.join(solved.select(by, "rx", "tx"), by)
-    at = lambda r, i, j: F.get(r, F.lit(3 * i + j))
-    product = lambda p, q: [[sum(at(p, i, k) * at(q, k, j) for k in range(3)) for j in range(3)] for i in range(3)]
-    left, right = product("ra", "rx"), product("rx", "rb")
-    off = F.sqrt(sum((left[i][j] - right[i][j]) * (left[i][j] - right[i][j]) for i in range(3) for j in range(3)))
-    angle = 2 * F.asin(F.least(F.lit(1.0), off / (2 * 2**0.5)))  # exact for small angles, where a cosine isn't
-    gap = [sum(at("ra", i, k) * F.get("tx", F.lit(k)) for k in range(3)) + F.get("ta", F.lit(i)) - sum(at("rx", i, k) * F.get("tb", F.lit(k)) for k in range(3)) - F.get("tx", F.lit(i)) for i in range(3)]
-    x = x.withColumn("rot_deg", F.degrees(angle)).withColumn("trans", F.sqrt(sum(d * d for d in gap)))
+    x = pairs.join(solved.select(F.col(by).alias("_by"), "rx", "tx"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+    product = lambda p, q, i, j: "(" + " + ".join(f"{_at(p, i, k)} * {_at(q, k, j)}" for k in range(3)) + ")"
+    off = [f"({product('ra', 'rx', i, j)} - {product('rx', 'rb', i, j)})" for i in range(3) for j in range(3)]
+    gap = ["(" + " + ".join(f"{_at('ra', i, k)} * tx[{k}] - {_at('rx', i, k)} * tb[{k}]" for k in range(3)) + f" + ta[{i}] - tx[{i}])" for i in range(3)]
+    size = lambda parts: "sqrt(aggregate(array(" + ", ".join(parts) + "), 0D, (a, v) -> a + v * v))"
+    # the sine keeps small angles exact, where a cosine doesn't
+    x = x.select("*", F.expr(f"degrees(2 * asin(least(1D, {size(off)} / {2 * 2**0.5}D))) as rot_deg"), F.expr(f"{size(gap)} as trans"))
     return x.withColumn("score", F.col("rot_deg") + 100 * F.col("trans")).drop("rx", "tx")
 
 
 def hand_eye(pairs: DataFrame, by: str, item: str, share: float = 0.2, rounds: int = 1) -> DataFrame:
     """X of each group, solved again after its worst samples are left out: by, n, n_used, rx, tx, mean_rot_deg, max_rot_deg, mean_trans.
 
-    Errors are over all samples, those left out too.
+    Errors are over all samples, those left out too. The samples are staged, and so is what a round has solved (a row
+    a group).
     """
-    found = solve(pairs, by)
-    used = found
+    pairs = stage(pairs.select(by, item, "ra", "ta", "rb", "tb"), "pairs")
+    used = stage(solve(pairs, by), "solved")
     for _ in range(rounds):
-        best = trimmed(residuals(pairs, used, by), by, "score", item, share)
-        used = solve(best, by)
-    errors = residuals(pairs, used, by).groupBy(by).agg(F.count("*").alias("n"), F.avg("rot_deg").alias("mean_rot_deg"), F.max("rot_deg").alias("max_rot_deg"), F.avg("trans").alias("mean_trans"))
-    return errors.join(used.select(by, F.col("n").alias("n_used"), "rx", "tx"), by)
+        best = stage(trimmed(residuals(pairs, used, by), by, "score", item, share).select(pairs.columns), "best")
+        used = stage(solve(best, by), "solved")
+    errors = residuals(pairs, used, by).groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("n"), F.avg("rot_deg").alias("mean_rot_deg"), F.max("rot_deg").alias("max_rot_deg"), F.avg("trans").alias("mean_trans"))
+    return errors.join(used.select(by, F.col("n").alias("n_used"), "rx", "tx"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by")

@@ -44,7 +44,7 @@ def tensor_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("session").cast("string").alias("session"), F.col("window_id").cast("long").alias("window_id"), F.col("start_t").alias("start_us"), F.col("end_t").alias("end_us"),
         F.col("center_t").cast("long").alias("center_us"), F.transform("tensor", lambda x: F.array(x)).alias("tensor"))
     made.repartition("session").sortWithinPartitions("session", "window_id").write.format("tensors").option("path", folder).mode("append").save()
-    found = spark.read.format("tensors").option("path", folder).load().filter(F.col("session").cast("long") % 3 == 1)
+    found = tensors.load(spark, folder).filter(F.col("session").cast("long") % 3 == 1)
     total = F.aggregate(F.zip_with("tensor", F.sequence(F.lit(1), F.lit(4)), lambda x, k: x[0] * k), F.lit(0.0), lambda a, x: a + x)
     return found.select("session", "window_id", "start_us", "end_us", F.round(total, 4).alias("total"))
 
@@ -99,23 +99,22 @@ def _turn(axis: list, angle) -> list:
     return [c + x * x * (1 - c), x * y * (1 - c) - z * s, x * z * (1 - c) + y * s, y * x * (1 - c) + z * s, c + y * y * (1 - c), y * z * (1 - c) - x * s, z * x * (1 - c) - y * s, z * y * (1 - c) + x * s, c + z * z * (1 - c)]
 
 
-@query(f"""with s as (select s_nationkey % 4 as g, count(*) as n from supplier group by 1) select g, n::bigint as n, case when n >= 8 then greatest(4, round_even(n * (1 - 0.2::double), 0)) else n end::bigint as n_used,
+@query(f"""with s as (select c_nationkey % 4 as g, count(*) as n from customer group by 1) select g, n::bigint as n, case when n >= 8 then greatest(4, round_even(n * (1 - 0.2::double), 0)) else n end::bigint as n_used,
     {", ".join(f"{v:.1f}::double as r{k}" for k, v in enumerate(X_ROTATION))}, {", ".join(f"{v}::double as t{k}" for k, v in enumerate(X_SHIFT))} from s""")
 def hand_eye(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The planted X found from motions of which some are wrong; those are left out."""
-    k = F.col("s_suppkey").cast("double")
+    k = F.col("c_custkey").cast("double")
     raw = [k % 7 + 1, k % 5 - 2, k % 3 - 1]
     norm = F.sqrt(sum(v * v for v in raw))
     rb = _turn([v / norm for v in raw], (k % 11 + 3) / 8)
     tb = [k % 13 / 10, k % 17 / 20 - 0.4, k % 19 / 30]
-    wrong = F.col("s_suppkey") % 9 == 4
-    x = [F.lit(v) for v in X_ROTATION]
-    dot = lambda p, q: [sum(p[3 * i + m] * q[3 * m + j] for m in range(3)) for i in range(3) for j in range(3)]
-    ra = dot(dot(x, rb), [x[3 * j + i] for i in range(3) for j in range(3)])  # A = X B X^-1
-    shift = [F.lit(v) for v in X_SHIFT]
-    ta = [sum(x[3 * i + m] * tb[m] for m in range(3)) + shift[i] - sum(ra[3 * i + m] * shift[m] for m in range(3)) + F.when(wrong, F.lit(0.05)).otherwise(F.lit(0.0)) for i in range(3)]
-    pairs = table(spark, sf_dir, "supplier").select((F.col("s_nationkey") % 4).alias("g"), "s_suppkey", *(F.array(*v).alias(n) for n, v in (("ra", ra), ("ta", ta), ("rb", rb), ("tb", tb))))
-    found = handeye.hand_eye(pairs, "g", "s_suppkey", rounds=3)
+    wrong = F.col("c_custkey") % 9 == 4
+    x = X_ROTATION  # zeros are left out of the sums, else these would be very long
+    turned = lambda i, of: sum(of[m] * x[3 * i + m] for m in range(3) if x[3 * i + m])
+    ra = [turned(i, [turned(j, rb[3 * m : 3 * m + 3]) for m in range(3)]) for i in range(3) for j in range(3)]  # A = X B X^-1
+    ta = [turned(i, tb) + X_SHIFT[i] - sum(ra[3 * i + m] * X_SHIFT[m] for m in range(3)) + F.when(wrong, F.lit(0.05)).otherwise(F.lit(0.0)) for i in range(3)]
+    pairs = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 4).alias("g"), "c_custkey", *(F.array(*v).alias(n) for n, v in (("ra", ra), ("ta", ta), ("rb", rb), ("tb", tb))))
+    found = handeye.hand_eye(pairs, "g", "c_custkey", rounds=3)
     return found.select("g", "n", "n_used", *(F.round(F.get("rx", F.lit(i)), 4).alias(f"r{i}") for i in range(9)), *(F.round(F.get("tx", F.lit(i)), 4).alias(f"t{i}") for i in range(3)))
 
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
 import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -36,19 +37,11 @@ class Archive(InputPartition):
 
 
 class TensorReader(DataSourceReader):
-    """A partition an archive; session = and session in (...) leave the others unopened."""
+    """A partition an archive."""
 
     def __init__(self, path: str):
         self.path, self.wanted = path, None
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo | In) and f.attribute == ("session",):
-                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.wanted = values if self.wanted is None else self.wanted & values
-            else:
-                yield f
-
     def partitions(self) -> Sequence[InputPartition]:
         return [Archive(p, s) for p, s in committed(self.path) if self.wanted is None or s in self.wanted]
 
@@ -62,6 +55,18 @@ class TensorReader(DataSourceReader):
                 yield partition.session, *(int(z[c][k]) for c in ("window_id", "start_us", "end_us", "center_us")), z["data"][k].tolist()
 
 
+class PruningReader(TensorReader):
+    """session = and session in (...) leave the other archives unopened."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo | In) and f.attribute == ("session",):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted = values if self.wanted is None else self.wanted & values
+            else:
+                yield f
+
+
 def committed(path: str) -> list[tuple[str, str]]:
     """Archives and their sessions that a committed write names; others are left by tasks that failed."""
     from pyarrow import fs
@@ -125,7 +130,7 @@ class TensorWriter(DataSourceWriter):
 
 
 class Tensors(DataSource):
-    """Format "tensors"; the option path is a folder that the driver and all executors see. Needs spark.sql.python.filterPushdown.enabled to prune."""
+    """Format "tensors"; the option path is a folder that the driver and all executors see, prune = true takes filters (see load)."""
 
     @classmethod
     def name(cls) -> str:
@@ -135,7 +140,14 @@ class Tensors(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> TensorReader:
-        return TensorReader(self.options["path"])
+        return (PruningReader if self.options.get("prune") == "true" else TensorReader)(self.options["path"])
 
     def writer(self, schema: StructType, overwrite: bool) -> TensorWriter:
         return TensorWriter(self.options["path"])
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """All archives of committed writes, pruned by filters on session; Spark asks for a session setting to pass filters on."""
+    spark.dataSource.register(Tensors)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("tensors").option("path", path).option("prune", "true").load()

@@ -75,16 +75,12 @@ def test_tensor_archives_round_trip_and_prune(spark, tmp_path, monkeypatch):
     rows.repartition(2, "session").sortWithinPartitions("session", "window_id").write.format("tensors").option("path", folder).mode("append").save()
     back = spark.read.format("tensors").option("path", folder).load()
     assert rows_of(back.columns, back.collect()) == rows_of(rows.columns, rows.collect())
-    reader = tensors.TensorReader(folder)
+    reader = tensors.PruningReader(folder)
     left = list(reader.pushFilters([tensors.EqualTo(("session",), "s/ _3"), tensors.EqualTo(("window_id",), 3)]))
     assert [f.attribute for f in left] == [("window_id",)] and {p.session for p in reader.partitions()} == {"s/ _3"} and len(reader.partitions()) < len(tensors.TensorReader(folder).partitions()) / 3
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    try:
-        one = spark.read.format("tensors").option("path", folder).load().filter("session = 's/ _3' and window_id > 5")
-        assert sorted(r["window_id"] for r in one.collect()) == [9, 15, 21, 27]
-        assert one.rdd.getNumPartitions() < 6
-    finally:
-        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    one = tensors.load(spark, folder).filter("session = 's/ _3' and window_id > 5")
+    assert sorted(r["window_id"] for r in one.collect()) == [9, 15, 21, 27]
+    assert one.rdd.getNumPartitions() < 6
 
 
 def test_tensor_write_that_fails_leaves_nothing_to_read(spark, tmp_path):
