@@ -112,9 +112,9 @@ def first_of_each(rows: DataFrame, by: list[str], order: list, most: int) -> Dat
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_n") <= most).drop("_n")
 
 
-def newest(sessions: DataFrame, name: str, most: int) -> DataFrame:
-    """The newest sessions, whose names begin with their time."""
-    return sessions.orderBy(F.desc(name)).limit(most)
+def newest(sessions: DataFrame, name: str, most: int, *ties: str) -> DataFrame:
+    """The newest sessions, whose names begin with their time; of equal names those with the greatest tie columns."""
+    return sessions.orderBy(F.desc(name), *(F.desc(c) for c in ties)).limit(most)
 
 
 def present_lists(rows: DataFrame, by: str, columns: list[str]) -> DataFrame:

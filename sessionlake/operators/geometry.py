@@ -96,10 +96,10 @@ def _dot(a: str, b: str) -> Column:
 
 
 def cross_entropy(logits: DataFrame, group: list[str], logit: str, wanted: str) -> DataFrame:
-    """group and loss: the log of the summed exponentials less the wanted one's logit, steady for large logits."""
+    """group and loss: the log of the summed exponentials less the wanted one's logit, steady for large logits; groups without a wanted one give no row."""
     top = logits.groupBy(*group).agg(F.max(logit).alias("_top"), F.max(F.when(F.col(wanted), F.col(logit))).alias("_want"))
     sums = logits.join(top, group).groupBy(*group).agg(F.sum(F.exp(F.col(logit) - F.col("_top"))).alias("_sum"), F.first("_top").alias("_top"), F.first("_want").alias("_want"))
-    return sums.select(*group, (F.log("_sum") + F.col("_top") - F.col("_want")).alias("loss"))
+    return sums.filter("_want is not null").select(*group, (F.log("_sum") + F.col("_top") - F.col("_want")).alias("loss"))
 
 
 def gathered_info_nce(points: DataFrame, patches: DataFrame, batch: str, point: str, patch: str, feature: str, valid: Column, temperature: float = 0.07) -> DataFrame:

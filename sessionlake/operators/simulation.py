@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.operators.stats import percent_done
+
 #: Metres in the plane, and least and most height over the target, of an arrival; height of the target's own point.
 NEAR_XY, LOW_Z, HIGH_Z, TARGET_HEIGHT = 0.02, 0.23, 0.28, 0.0
 
@@ -47,4 +49,4 @@ def progress(runs: DataFrame, logs: DataFrame, made: DataFrame, run: str) -> Dat
     last = logs.groupBy(run).agg(F.max_by("line", "line_no").alias("last_line"))
     count = made.groupBy(run).agg(F.count("*").alias("made"))
     out = runs.join(last, run, "left").join(count, run, "left").withColumn("made", F.coalesce("made", F.lit(0).cast("long")))
-    return out.withColumn("percent", F.least(F.lit(100.0), F.coalesce(F.try_divide(F.col("made") * 100.0, F.col("wanted")), F.lit(0.0))))
+    return out.withColumn("percent", F.least(F.lit(100.0), F.coalesce(percent_done(F.col("made"), F.col("wanted")), F.lit(0.0))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.session import stage
+from sessionlake.session import small, stage
 
 
 def deltas(stream: DataFrame, by: list[str], arrival: str = "arrival") -> DataFrame:
@@ -59,8 +59,8 @@ def null_audit(cells: DataFrame, by: list[str], cell: Column, is_time: Column) -
     return cells.groupBy(*by).agg(F.count("*").alias("cells"), (F.count_if(blank) + F.count_if(unread)).alias("nulls"))
 
 
-#: Values of a group that are sorted at once, and ranges that a pass counts.
-SORTED, RANGES = 4096, 1024
+#: Values of a group that are sorted at once, ranges that a pass counts, and groups that may be broadcast.
+SORTED, RANGES, GROUPS = 4096, 1024, 500_000
 
 
 def floor_percentile(values: DataFrame, by: str, value: str, share: float) -> DataFrame:
@@ -70,6 +70,11 @@ def floor_percentile(values: DataFrame, by: str, value: str, share: float) -> Da
     until at most SORTED values are left, or equal ones; those are sorted. A pass is a partial aggregate, so no group
     meets in one task. Nulls, NaN and infinite values don't count.
     """
+
+    def met(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        groups = small(groups, GROUPS).withColumnRenamed(by, "_by")
+        return rows.join(groups, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+
     number = F.col(value).cast("double")
     left = stage(values.select(by, number.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))), "values")
     n = F.count("*")
@@ -77,20 +82,20 @@ def floor_percentile(values: DataFrame, by: str, value: str, share: float) -> Da
     found = None
     while True:
         done = F.col("_lo") == F.col("_hi")
-        small = (F.col("_n") <= SORTED) & ~done
+        few = (F.col("_n") <= SORTED) & ~done
         equal = at.filter(done).select(by, F.col("_lo").alias(value))
-        near = left.join(at.filter(small), by).groupBy(by).agg(F.get(F.sort_array(F.collect_list("_v")), F.any_value("_k").cast("int")).alias(value))
+        near = met(left, at.filter(few)).groupBy(by).agg(F.get(F.sort_array(F.collect_list("_v")), F.any_value("_k").cast("int")).alias(value))
         found = equal.union(near) if found is None else found.union(equal).union(near)
-        large = at.filter(~done & ~small)
+        large = at.filter(~done & ~few)
         if large.isEmpty():
             return found
         place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * RANGES)
-        ranged = left.join(large, by).withColumn("_r", F.least(F.lit(RANGES - 1), place))
+        ranged = met(left, large).withColumn("_r", F.least(F.lit(RANGES - 1), place))
         counts = ranged.groupBy(by, "_r").agg(F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.any_value("_k").alias("_k"))
         before = F.coalesce(F.sum("_c").over(Window.partitionBy(by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most RANGES rows
         chosen = counts.withColumn("_b", before).filter((F.col("_k") >= F.col("_b")) & (F.col("_k") < F.col("_b") + F.col("_c")))
         at = stage(chosen.select(by, (F.col("_k") - F.col("_b")).alias("_k"), F.col("_c").alias("_n"), "_lo", "_hi"), "places")
-        left = stage(left.join(at.select(by, "_lo", "_hi"), by).filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).select(by, "_v"), "values")
+        left = stage(met(left, at.select(by, "_lo", "_hi")).filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).select(by, "_v"), "values")
 
 
 def offset_quality(offsets: DataFrame, by: str, over_ms: float = 10.0) -> DataFrame:
@@ -98,8 +103,8 @@ def offset_quality(offsets: DataFrame, by: str, over_ms: float = 10.0) -> DataFr
     sizes = stage(offsets.filter("offset_ms is not null").select(by, F.abs("offset_ms").alias("_a")), "offsets")
     a = F.col("_a")
     sums = sizes.groupBy(by).agg(F.count("*").alias("n"), F.avg(a).alias("mean_ms"), F.max(a).alias("max_ms"), F.count_if(a > over_ms).alias("n_over"))
-    p95 = floor_percentile(sizes, by, "_a", 0.95).withColumnRenamed("_a", "p95_ms")
-    return sums.join(p95, by, "left").select(by, "n", "mean_ms", "p95_ms", "max_ms", "n_over")
+    p95 = floor_percentile(sizes, by, "_a", 0.95).select(F.col(by).alias("_by"), F.col("_a").alias("p95_ms"))
+    return sums.join(p95, F.col(by).eqNullSafe(F.col("_by")), "left").select(by, "n", "mean_ms", "p95_ms", "max_ms", "n_over")
 
 
 def channels_long(wide: DataFrame, keys: list[str], channels: list[str]) -> DataFrame:

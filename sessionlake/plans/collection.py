@@ -31,7 +31,8 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pressure.clean_files(rows, "session", {"CH58": ["CH57", "CH59"]})
 
 
-@query(f'with {CLEAN} select session, arrival, pos::int as pos, fixed as "CH58" from c')
+@query(f"""with {P}, q as (select *, bool_and(t is not null) over (partition by session) as whole from p)
+    select session, arrival, (row_number() over (partition by session order by case when whole then t else 0 end, arrival))::int as pos, coalesce(trunc(("CH57" + "CH59") / 2.0), "CH58") as "CH58" from q""")
 def pressure_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sort, repair and order of whole files in one operation."""
     return _cleaned(spark, sf_dir).select("session", "arrival", "pos", "CH58")
@@ -273,7 +274,7 @@ def image_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {NAMES} select name, o_orderkey from o order by name desc, o_orderkey desc limit 25")
 def newest_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's newest sessions: a limit is what it is."""
-    return _names(spark, sf_dir).select("name", "o_orderkey").orderBy(F.desc("name"), F.desc("o_orderkey")).limit(25)
+    return episodes.newest(_names(spark, sf_dir).select("name", "o_orderkey"), "name", 25, "o_orderkey")
 
 
 @query("select o_orderpriority, o_orderkey from (select *, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) as n from orders) where n <= 20")

@@ -159,6 +159,17 @@ def read_json(spark: SparkSession, path: str, schema: str, glob: str = "*.json")
     return whole.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema).alias("value"), F.try_parse_json("value").isNull().alias("bad"))
 
 
+def frame_states(texts: DataFrame, stems: DataFrame, least: int = 6) -> DataFrame:
+    """session, frame, code, joints and pose of the arm's per-frame JSON texts (session, text).
+
+    Kept are those with a pose of at least so many numbers whose frame has an image (stems: session, stem); texts that are
+    no JSON go with them that lack a pose.
+    """
+    state = F.from_json("text", "frame string, state struct<code:int,data:struct<joint:array<double>,pose:array<double>>>")
+    rows = texts.select("session", state.alias("s")).select("session", "s.frame", "s.state.code", F.col("s.state.data.joint").alias("joints"), "s.state.data.pose")
+    return rows.filter(F.size("pose") >= least).join(stems.select("session", F.col("stem").alias("frame")).distinct(), ["session", "frame"], "left_semi")
+
+
 def read_npz(spark: SparkSession, path: str, names: dict[str, str], glob: str = "*.npz") -> DataFrame:
     """Arrays of npz files of a session each: a row per leading index with path, i and the named arrays.
 

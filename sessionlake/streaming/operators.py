@@ -51,17 +51,24 @@ def monotonic(rows: DataFrame, key: str) -> DataFrame:
 
 
 def run_to_table(stream: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
-    """Process what there is and give the result: complete mode by a memory table, append mode by Parquet files."""
+    """Process what there is and give the result, from Parquet files in the shared folder.
+
+    In complete mode each micro-batch writes the whole result anew, of which the last one counts; nothing is held by the
+    driver.
+    """
     spark = stream.sparkSession
     name = f"stream_{uuid.uuid4().hex}"
+    out, done = f"{folder}/{name}", []
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint-{name}").trigger(availableNow=True)
     if mode == "complete":
-        query = writer.format("memory").queryName(name).start()
-        query.awaitTermination()
-        return spark.table(name)
-    out = f"{folder}/{name}"
-    query = writer.format("parquet").option("path", out).start()
-    query.awaitTermination()
+
+        def write(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/{number}")
+            done.append(number)
+
+        writer.foreachBatch(write).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{out}/{done[-1]}") if done else spark.createDataFrame([], stream.schema)
+    writer.format("parquet").option("path", out).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 

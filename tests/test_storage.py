@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sessionlake.operators import handeye, manifest
-from sessionlake.sources import quoted_csv, recordings, tensors, versions
+from sessionlake.operators import clean, geometry, handeye, manifest, rules, stats
+from sessionlake.sources import quoted_csv, recordings, sinks, tables, tensors, versions
+from sessionlake.streaming import operators as streaming
 from tests.compare import rows_of
 
 
@@ -159,3 +160,83 @@ def test_hand_eye_against_numpy(spark):
     for r in handeye.hand_eye(df.filter("g is not null"), "g", "k", rounds=3).collect():
         x, t = planted[r["g"]]
         assert (r["n"], r["n_used"]) == (30, 24) and np.allclose(r["rx"], x.reshape(-1), atol=1e-6) and np.allclose(r["tx"], t, atol=1e-6)
+
+
+def test_typed_cells_and_manifest_pair(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('step,phase,phase_name,finger1_fx\n1,0,"a,b",2.5\nx,1.9,,nan\n')
+    got = tables.read_table(spark, str(tmp_path), tables.FORCES).orderBy("row_index").collect()
+    assert [(r["step"], r["phase"], r["phase_name"], r["finger1_fx"], r["finger2_fz"]) for r in got] == [(1, 0, "a,b", 2.5, None), (None, 1, "", None, None)]
+    row = {c: (f'n"{k},\nx' if c == "notes" else str(k)) for k, c in enumerate(manifest.COLUMNS)}
+    df = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+    tables.write_manifest(df.withColumn("more", F.lit(1)), str(tmp_path / "m"))
+    back = tables.read_table(spark, str(tmp_path / "m" / "manifest_csv"), tables.MANIFEST).drop("path", "row_index").collect()
+    assert [r["notes"] for r in back] == [row["notes"]] and back[0]["pressure_hz"] == float(row["pressure_hz"])
+    assert spark.read.json(str(tmp_path / "m" / "manifest_json")).first()["notes"] == row["notes"]
+
+
+def test_channel_mapping_and_aligned_repair(spark):
+    text = '{"LEFT_CHANNEL": 5, "RIGHT_CHANNEL": 6, "LEFT_MATRIX_CHANNELS": [[1, 2]], "RIGHT_MATRIX_CHANNELS": [[3]], "INTERPOLATE_CHANNELS": {"2": [1, 3], "9": [1]}}'
+    ch = tables.Channels.parse(text)
+    assert ch.order == (5, 6, 1, 2, 3) and [r["neighbours"] for r in ch.table(spark).orderBy("place").collect()] == [[], [], [], [1, 3], []]
+    rows = spark.createDataFrame([(7, 10.0, 2.0, 3.0), (8, 10.0, None, 3.0), (9, 10.0, -2.0, -3.0)], "k int, pressure_CH2 double, pressure_CH1 double, pressure_CH3 double")
+    assert [r["pressure_CH2"] for r in tables.repaired_aligned(rows, ch).orderBy("k").collect()] == [2.0, 10.0, -2.0]
+    one = spark.range(1).select(*(ch.value(F.array(*map(F.lit, (50, 60, 10))), F.lit(c), -1).alias(f"c{c}") for c in (5, 1, 2, 77))).first()
+    assert tuple(one) == (50, 10, -1, -1)
+
+
+def test_bands_at_their_limits(spark):
+    at = lambda *c: spark.range(1).select(*c).first()
+    assert tuple(at(*(rules.status("camera_hz", F.lit(v)) for v in (27.0, 26.9, 20.0, 19.9)), rules.status("robot_hz", F.lit(1.0)))) == ("good", "fair", "fair", "poor", "fair")
+    assert tuple(at(*(rules.error_status("hand_eye", F.lit(a), F.lit(b)) for a, b in ((1.9, 9.9), (2.0, 9.9), (4.9, 29.0), (4.9, 30.0)))))  == ("good", "fair", "fair", "poor")
+
+
+def test_losses_against_numpy(spark):
+    draw = np.random.default_rng(2)
+    point, patch = draw.normal(size=(9, 4)), draw.normal(size=(5, 4))
+    at = [int(k) for k in draw.integers(0, 5, 9)]
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    good = [k for k in range(9) if k % 4]
+    logits = unit(point[good]) @ unit(patch[[at[k] for k in good]]).T / 0.07
+    ce = lambda x, want: np.mean(np.log(np.exp(x - x.max(1, keepdims=True)).sum(1)) + x.max(1) - x[np.arange(len(x)), want])
+    own = np.arange(len(good))
+    points = spark.createDataFrame([("b", k, at[k], point[k].tolist()) for k in range(9)], "b string, i long, patch long, f array<double>")
+    patches = spark.createDataFrame([("b", k, patch[k].tolist()) for k in range(5)], "b string, patch long, f array<double>")
+    got = geometry.gathered_info_nce(points, patches, "b", "i", "patch", "f", F.col("i") % 4 != 0).first()
+    assert got["n"] == len(good) and got["loss"] == pytest.approx((ce(logits, own) + ce(logits.T, own)) / 2)
+    anchors = points.withColumn("point", F.col("i") % 5)
+    numbered = patches.withColumnRenamed("patch", "k")
+    got = geometry.tactile_info_nce(anchors, numbered, numbered, "b", "i", "f", "k").first()
+    all_logits = unit(point) @ unit(patch).T / 0.07
+    assert got["loss"] == pytest.approx((ce(all_logits, [k % 5 for k in range(9)]) + ce(all_logits, at)) / 2)
+
+
+def test_audits_and_pose_log(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 60.0, None), ("a", -3.0, -70.0), ("a", None, None), ("b", 1.0, 2.0)], "s string, x double, y double")
+    assert {r["s"]: tuple(r)[1:] for r in stats.offset_audit(rows, "s", ["x", "y"]).collect()} == {"a": (2, 70.0, 2), "b": (1, 2.0, 0)}
+    cells = spark.createDataFrame([("m", "", True), ("m", "x", True), ("m", "", False), ("m", "5", True)], "m string, c string, t boolean")
+    assert tuple(stats.null_audit(cells, ["m"], F.col("c"), F.col("t")).first()) == ("m", 4, 4)
+    poses = spark.createDataFrame([("s1", 2, [0.0], [1.0], "w"), ("s1", 1, [0.5], [2.0], "a")], "session string, t long, joints array<double>, pose array<double>, key string")
+    tables.write_pose_log(poses, str(tmp_path / "p"))
+    assert [r["key"] for r in spark.read.json(str(tmp_path / "p" / "session=s1")).orderBy("t").collect()] == ["a", "w"]
+
+
+def test_report_is_one_text_in_order(spark, tmp_path):
+    facts = spark.createDataFrame([(0, "Sessions", 3)], "place int, name string, value long")
+    counters = spark.createDataFrame([("By kind", f"k{k:02}", k) for k in range(30)], "section string, key string, n long")
+    kinds = spark.createDataFrame([("robot", 1, None)], "modality string, sessions long, hz double")
+    samples = spark.createDataFrame([(0, "warn", "s", "robot", "code", 4)], "place int, severity string, session string, modality string, code string, found long")
+    tables.write_lines(tables.summary_lines("Audit", facts, counters, kinds, samples), str(tmp_path / "r"))
+    lines = next((tmp_path / "r").glob("part-*")).read_text().splitlines()
+    assert lines[:4] == ["# Audit", "- Sessions: 3", "## By kind", "- k29: 29"] and lines[22:] == ["- k10: 10", "## Modality summary", "| modality | sessions | hz |", "|---|---:|---:|", "| robot | 1 |  |", "- [warn] s robot code: 4"]
+
+
+def test_tensor_table_and_live_appends(spark, tmp_path):
+    rows = spark.range(40).select((F.col("id") % 2).alias("session"), F.col("id").alias("t"), F.col("id").cast("double").alias("value"))
+    sinks.write_tensors(clean.windows(rows, ["session"], "t", "value"), str(tmp_path / "w"))
+    assert spark.read.parquet(str(tmp_path / "w" / "windows")).count() == 10
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = streaming.read_folder(spark, rows, str(tmp_path / "in"))
+    query = streaming.write_versions(stream, str(tmp_path / "out"), str(tmp_path / "c"))
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
