@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import extended, stage
+from sessionlake.llm.common import extended, slices, stage
 
 #: Pages of a host, of unlike contents, and their share of the host's, that have a subtree at least for it to be the site's template.
 MIN_PAGES, MIN_SHARE = 5, 0.3
@@ -26,9 +26,12 @@ TOPS = ("article", "main")
 BROADCAST_ROWS, SALTS = 1_000_000, 32
 #: Elements and words in class, id or role that are no main text.
 DROPPED = frozenset("nav aside footer form script style noscript iframe template svg math object button select textarea input menu dialog head title canvas audio video".split())
-WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer menu modal nav navbar navigation newsletter notice popup promo related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+WORDS = frozenset("ad ads advert adverts advertisement alert alerts banner bio breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer menu modal nav navbar navigation newsletter notice notices pager pagination popup promo recommendations recommended related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: Those of reader comments, which are no main text however long they are.
+COMMENTS = frozenset("comment comments disqus".split())
 #: Words that may stand beside those in one name and say where or in what shape it is; with another word, a name means something else.
-BESIDE = frozenset("main site page top bottom left right primary secondary global header inner outer wrapper wrap container box bar block area section list item items body panel pane slot unit link links button buttons icons media post posts form mobile desktop sticky fixed".split())
+BESIDE = frozenset("main site page top bottom left right primary secondary global header inner outer wrapper wrap container box bar block area section list item items body panel pane slot unit link links button buttons icons media post posts form mobile desktop sticky fixed article articles stories author reader readers user thread".split())
+VERSION = re.compile(r"v?\d+")
 NAME = re.compile(r"[_-]+")
 #: Dropped elements that never hold the main text, and those that do only if they hold the articles.
 EMPTY = RAW | frozenset("script style noscript head title canvas audio video button select menu dialog".split())
@@ -44,6 +47,7 @@ class Node:
     attrs: str = ""
     parts: list = field(default_factory=list)  # texts and nodes, in order
     hash: int = 0
+    kinds: int = -1  # 1: named as furniture, 2: as reader comments, once asked for
 
 
 def parse(source: str) -> Node:
@@ -76,7 +80,7 @@ def parse(source: str) -> Node:
             stack.pop()
         node = Node(tag, attrs)
         stack[-1].parts.append(node)
-        if tag in VOID or attrs.endswith("/"):
+        if tag in VOID:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>|\Z", re.I).search(source, at)
@@ -109,21 +113,29 @@ def hashed(node: Node) -> int:
     return node.hash
 
 
-def named(name: str) -> bool:
-    """Is a class, id or role a furniture word, alone or only with words that go with it?"""
-    parts = [p for p in NAME.split(name.lower()) if p and not p.isdigit()]
-    return any(p in WORDS for p in parts) and all(p in WORDS or p in BESIDE for p in parts)
+def named(name: str, words: frozenset[str] = WORDS) -> bool:
+    """Is a class, id or role one of the furniture words, alone or only with words that go with it?"""
+    parts = [p for p in NAME.split(name.lower()) if p and not VERSION.fullmatch(p)]
+    return any(p in words for p in parts) and all(p in WORDS or p in BESIDE for p in parts)
+
+
+def kinds(node: Node) -> int:
+    """Has the element a furniture class, id or role (1), one of reader comments (2)? Those of the page and of articles say what they hold."""
+    if node.kinds < 0:
+        names = [] if not node.attrs or node.tag in ("html", "body", *TOPS) else [n for a, b, c in ATTRIBUTE.findall(node.attrs) for n in (a or b or c).split()]
+        node.kinds = any(named(n) for n in names) + 2 * any(named(n, COMMENTS) for n in names)
+    return node.kinds
 
 
 def length(node: Node, without: frozenset[str] = EMPTY, within: tuple[str, ...] = ()) -> int:
-    """Characters in the subtree, not counting those in elements `without`; with `within`, only those in such elements."""
+    """Characters in the subtree, not counting those in elements `without` and in reader comments; with `within`, only those in such elements."""
     n, todo = 0, [(node, not within or node.tag in within)]
     while todo:
         now, counts = todo.pop()
         for p in now.parts:
             if not isinstance(p, Node):
                 n += len("".join(p.split())) if counts else 0
-            elif p.tag not in without:
+            elif p.tag not in without and kinds(p) < 2:
                 todo.append((p, counts or p.tag in within))
     return n
 
@@ -140,12 +152,14 @@ class Page:
         """A header that belongs to an article may hold its title. What holds most of the page's text isn't furniture.
 
         That is text in articles and main elements, if it has such, or else text outside menus; a menu, aside or footer
-        goes then, whatever its length.
+        goes then, whatever its length. Reader comments and a form within an article always go.
         """
+        if kinds(node) > 1 or inside and node.tag == "form":
+            return True
         if node.tag in DROPPED or node.tag == "header" and not inside:
             if node.tag in EMPTY:
                 return True
-        elif not node.attrs or node.tag in ("html", "body", *TOPS) or not any(named(n) for a, b, c in ATTRIBUTE.findall(node.attrs) for n in (a or b or c).split()):
+        elif not kinds(node):
             return False
         if self.articles:
             return 2 * length(node, within=() if inside else TOPS) <= self.articles
@@ -169,7 +183,7 @@ def blocks(page: Page, node: Node, template: frozenset[int]) -> list[str]:
         for part in rest:
             if not isinstance(part, Node):
                 text.append(html.unescape(part))  # each piece by itself: markup parts references
-            elif page.furniture(part, inside) or part.hash in template:
+            elif part.hash in template or page.furniture(part, inside):
                 if part.tag in BLOCKS:
                     flush()
             elif part.tag == "br":
@@ -204,8 +218,16 @@ def kept(page: Page) -> Iterator[Node]:
         todo += [(p, inside) for p in now.parts if isinstance(p, Node) and not page.furniture(p, inside)]
 
 
+def every(node: Node) -> Iterator[Node]:
+    todo = [node]
+    while todo:
+        now = todo.pop()
+        yield now
+        todo += [p for p in now.parts if isinstance(p, Node)]
+
+
 def subtrees(source: str) -> tuple[int, set[int]]:
-    """Hash of what the page has of its own, and hashes of the subtrees that may be template: blocks with some contents, no furniture.
+    """Hash of what the page has of its own, and hashes of the subtrees that may be template: blocks with some contents, furniture too.
 
     Its own are its articles (or main elements), if they hold half of its text, so one article among changing adverts is
     one content, while pages that only share a teaser are many; else all of it.
@@ -221,7 +243,7 @@ def subtrees(source: str) -> tuple[int, set[int]]:
             tops = these
             break
     own = xxhash.xxh3_64_intdigest(",".join(str(n.hash) for n in tops)) - (1 << 63)
-    return own, {n.hash for n in found if n.tag in BLOCKS and n.tag not in ("html", "body", "hr", *TOPS) and n.parts}
+    return own, {n.hash for n in every(root) if n.tag in BLOCKS and n.tag not in ("html", "body", "hr", *TOPS) and n.parts}
 
 
 def host(url: Column) -> Column:
@@ -232,7 +254,7 @@ def page_subtrees(pages: DataFrame) -> DataFrame:
     """(host, content, subtree), once for each content of a page, and with a null subtree for the content itself; staged."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hosts, keys, trees = [], [], []
             for h, source in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
                 content, own = subtrees(source) if source else (0, set())
@@ -271,7 +293,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
         keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [main_text(source, frozenset(template or ())) if source else "" for source, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
