@@ -19,6 +19,8 @@ from sessionlake.llm.shingles import mix, shingler
 TILE_ROWS, TILE_TOKENS, BROADCAST_ROWS = 256, 200_000, 300_000
 #: Parts of fewer elements than this, on average, are often empty; so many parts that differences can't hit all of them.
 FEW_ELEMENTS, MANY = 6, 24
+#: Ways to part a set that has hardly any elements in some part.
+WAYS = 6
 
 
 @lru_cache
@@ -37,6 +39,28 @@ def bands(limit: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(starts[:-1], "i8"), np.array(parts, "i8")
 
 
+def less_one(tokens: np.ndarray, mixed: np.ndarray, band: int, m: int) -> list[np.ndarray]:
+    """Hashes of the nonempty ones of m parts, and of what is left of them without any one element, if anything is.
+
+    Sets with a part that differs in one element at most share one, unless the part has that element alone or none; then
+    it has one at most in either set, and both sets are parted anew, in another way. After so many ways the empty
+    hash counts, too; few sets get there, so it makes no large group.
+    """
+    out = []
+    for way in range(WAYS):
+        spread = mix(tokens ^ np.uint64(way)) if way else tokens
+        part = (((spread >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype("i8")
+        sums, counts = np.zeros(m, np.uint64), np.bincount(part, minlength=m)
+        np.add.at(sums, part, mixed)
+        names = mix(np.arange(m, dtype=np.uint64) + np.uint64(band * 1_000_003 + way * 500_009))
+        least = -1 if way + 1 == WAYS else 0
+        whole, rest = counts > least, counts[part] > least + 1
+        out += [mix(sums[whole] ^ names[whole]), mix((sums[part] - mixed)[rest] ^ names[part][rest])]
+        if counts.min() > 1:
+            break
+    return out
+
+
 def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the parts of a set, for its own band and the one below.
 
@@ -54,15 +78,13 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     for band in (own, own - 1):
         if band >= 0 and (m := int(parts[band])) > 1:
             sparse = int(starts[band]) < FEW_ELEMENTS * m
-            less_one = sparse and m < MANY
-            m = (m + 1) // 2 if less_one else m
+            if sparse and m < MANY:
+                out += less_one(tokens, mixed, band, (m + 1) // 2)
+                continue
             part = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
             ends = np.searchsorted(part, np.arange(m + 1, dtype=np.uint64))
-            sums, names = total[ends[1:]] - total[ends[:-1]], mix(np.uint64(band * 1_000_003) + np.arange(m, dtype=np.uint64))
-            if less_one:
-                at = part.astype("i8")
-                sums, names = np.concatenate([sums, sums[at] - mixed]), np.concatenate([names, names[at]])
-            elif sparse:
+            sums, names = total[ends[1:]] - total[ends[:-1]], mix(np.arange(m, dtype=np.uint64) + np.uint64(band * 1_000_003))
+            if sparse:
                 full = ends[1:] > ends[:-1]
                 sums, names = sums[full], names[full]
             out.append(mix(sums ^ names))

@@ -13,11 +13,12 @@ MULTIPLIERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads their bits."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * MULTIPLIERS[3]
-    x = x ^ (x >> np.uint64(29))
-    x = x * MULTIPLIERS[0]
-    return x ^ (x >> np.uint64(32))
+    with np.errstate(over="ignore"):  # products are modulo 2^64
+        x = x ^ (x >> np.uint64(32))
+        x = x * MULTIPLIERS[3]
+        x = x ^ (x >> np.uint64(29))
+        x = x * MULTIPLIERS[0]
+        return x ^ (x >> np.uint64(32))
 
 
 class Shingler:
