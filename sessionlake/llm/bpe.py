@@ -158,8 +158,8 @@ def with_decoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.R
 
 
 def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
-    """Raw bytes of encode()'s rows, its columns and decoded; null ids decode to null."""
-    path = ranks or default_ranks()
+    """Raw bytes of encode()'s rows, its columns and decoded (in place of a column so named); null ids decode to null."""
+    path, encoded = ranks or default_ranks(), encoded.drop("decoded")
     return encoded.mapInArrow(lambda batches: with_decoded(batches, path), extended(encoded, "decoded binary"))
 
 
