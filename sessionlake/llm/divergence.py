@@ -2,65 +2,73 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import drop_staged, slices, small, stage
+from sessionlake.llm.common import drop_staged, shuffle_partitions, slices, small, stage
 
 #: A term is a run of ASCII letters and of bytes of other characters; only A-Z are lowered, all else parts terms.
 LOWERED = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Counts that a task holds before it hands them on: terms, and bytes of terms.
-HELD_TERMS, HELD_BYTES = 200_000, 32 << 20
+#: Counts of (source, term) that a task holds before it hands them on, and bytes of text that they may come from.
+HELD_COUNTS, HELD_BYTES = 800_000, 64 << 20
 #: Groups that are joined by broadcast.
 SMALL = 50_000
 
 
+def by_term(lang: str, docs: Counter, counts: dict[str, Counter]) -> pa.RecordBatch:
+    """A row for each term of a language: its documents, and the sources that have it with their occurrences."""
+    place = {w: k for k, w in enumerate(docs)}
+    at = np.concatenate([np.fromiter(map(place.__getitem__, c), "i8", len(c)) for c in counts.values()])
+    n = np.concatenate([np.fromiter(c.values(), "i8", len(c)) for c in counts.values()])
+    source = np.repeat(np.arange(len(counts)), [len(c) for c in counts.values()])
+    order = np.argsort(at, kind="stable")
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))]).astype("i4"))
+    columns = [
+        pa.array([lang]).take(pa.array(np.zeros(len(place), "i4"))), pa.array(list(place), pa.binary()).cast(pa.string()), pa.array(np.fromiter(docs.values(), "i8", len(docs))),
+        pa.ListArray.from_arrays(ends, pa.array(list(counts), pa.string()).take(pa.array(source[order]))), pa.ListArray.from_arrays(ends, pa.array(n[order])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "sources", "ns"])
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n, docs: occurrences, and rows that have the term.
+    """lang, term, docs, sources, ns: rows that have a term, and its occurrences by source, as a task has counted them.
 
-    A task sums what it reads before anything is shuffled and hands its sums on when they grow past a bound; long texts
-    are counted whole, one at a time.
+    A task sums what it reads before anything is shuffled, so a term is a row a task, and hands its sums on when they grow
+    past a bound; long texts are counted whole, one at a time.
     """
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    schema = "lang string, source string, term string, n long, docs long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
-        terms = size = 0
+        seen: dict[str, Counter] = defaultdict(Counter)
+        counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), found in held.items():
-                words = list(found)
-                for k in range(0, len(words), 50_000):
-                    part = words[k : k + 50_000]
-                    n, d = zip(*(found[w] for w in part), strict=True)
-                    yield pa.record_batch([pa.array([lang] * len(part)), pa.array([source] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64())], ["lang", "source", "term", "n", "docs"])
-            held.clear()
+            for lang, found in seen.items():
+                whole = by_term(lang, found, counts[lang])
+                for k in range(0, whole.num_rows, 20_000):
+                    yield whole.slice(k, 20_000)
+            seen.clear()
+            counts.clear()
 
         for batch in slices(batches, 64):
-            for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text")), strict=True):
-                found = held[lang.as_py(), source.as_py()]
-                once = defaultdict(int)
-                for w in text.as_py().translate(LOWERED).split():
-                    once[w] += 1
-                for w, n in once.items():
-                    x = found.get(w)
-                    if x is None:
-                        found[w] = [n, 1]
-                        terms, size = terms + 1, size + len(w)
-                    else:
-                        x[0] += n
-                        x[1] += 1
-                if terms > HELD_TERMS or size > HELD_BYTES:
-                    yield from flush()
-                    terms = size = 0
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+                words = text.translate(LOWERED).split()
+                if words:
+                    counts[lang][source].update(words)
+                    seen[lang].update(set(words))
+                size += len(text)
+            if size > HELD_BYTES or sum(len(c) for x in counts.values() for c in x.values()) > HELD_COUNTS:
+                yield from flush()
+                size = 0
         yield from flush()
 
-    return rows.mapInArrow(count, schema).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return rows.mapInArrow(count, "lang string, term string, docs long, sources array<string>, ns array<long>")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -81,14 +89,19 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
     A language keeps the terms that at least min_docs of its rows have; shares are smoothed and exact integers. A pair's
     distance over all kept terms is put together by inclusion and exclusion: a constant for the terms that neither side
     has, each side's histogram of counts for the terms of its support as if the other had none, and a correction for
-    the terms of both, from joining the postings of terms with each other. Postings are summed by (language, source,
-    term) before, so a term's are as many as its sources, whatever its rows; a source that holds most rows is one
-    posting a term, too. A null text, language or source is an empty one; an empty text adds its group, no terms; an
+    the terms of both, from joining the postings of terms with each other. Postings are summed in tasks and then by
+    term, so a term's are as many as its sources, whatever its rows; a source that holds most rows is one posting a
+    term, too. A null text, language or source is an empty one; an empty text adds its group, no terms; an
     empty table gives no row; repeated rows count each; other columns are ignored.
     """
-    counts = stage(term_counts(docs), "terms")
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("_d")).filter(F.col("_d") >= min_docs).drop("_d")
-    postings = stage(counts.drop("docs").join(kept, ["lang", "term"]), "postings")
+    # Dealt by term once: what keeps a term, and the sums of those that stay, need no other exchange. Both ask for all columns, so
+    # that Spark finds one exchange for both and counts the texts once.
+    counts = term_counts(docs).repartition(shuffle_partitions(docs.sparkSession), "lang", "term")
+    kept = counts.groupBy("lang", "term").agg(F.sum(F.aggregate("ns", F.lit(0).cast("long"), lambda a, x: a + x)).alias("lang_n"), F.sum("docs").alias("_d"), F.max(F.size("sources")).alias("_s"))
+    kept = kept.filter((F.col("_d") >= min_docs) & (F.col("_s") > 0)).drop("_d", "_s")
+    some = counts.join(kept.hint("shuffle_hash"), ["lang", "term"]).select("lang", "term", "docs", "lang_n", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
+    postings = stage(some.groupBy("lang", "term", F.col("x.sources").alias("source")).agg(F.sum("x.ns").alias("n"), F.first("lang_n").alias("lang_n"), F.sum("docs").alias("rows")), "postings")
+    kept = postings.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
     langs = stage(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "langs")
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
     totals = postings.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("support"))
@@ -98,7 +111,6 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
         .withColumn("p0", F.when(F.col("v") > 0, share(zero, F.col("total"), F.col("v"))).otherwise(zero + 1)),
         "groups",
     )
-    drop_staged(counts)
     known = small(groups, SMALL)
     priced = stage(
         postings.join(known, ["lang", "source"]).select(

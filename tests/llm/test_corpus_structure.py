@@ -194,9 +194,9 @@ def slow_audit(rows, least=10, top=10):
 AUDIT = ["lang", "source", "part", "item", "value", "rank"]
 
 
-@pytest.mark.parametrize("held", [200_000, 5])
+@pytest.mark.parametrize("held", [800_000, 5])
 def test_audit_equals_brute_force(spark, docs, held, monkeypatch):
-    monkeypatch.setattr(divergence, "HELD_TERMS", held)
+    monkeypatch.setattr(divergence, "HELD_COUNTS", held)
     rows = [(r["lang"], r["source"], r["text"]) for r in docs.collect()] + [("cc", s, t) for s, t in (("s", "one two"), ("t", None), ("", "  "))]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows], "lang string, source string, text string, n int, a string")
     got = divergence.audit(df)
