@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,27 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    folder = getattr(spark, "_sessionlake_folder", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="sessionlake-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark._sessionlake_folder = folder
-    return folder
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from sessionlake.session import shared_folder, small, stage  # noqa: F401  one folder for the whole library
 
 
 def drop_staged(*frames: DataFrame) -> None:
@@ -43,11 +21,6 @@ def drop_staged(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df, a table of narrow rows, marked for broadcast if it has at most so many; counted first, so df should be staged."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def extended(df: DataFrame, more: str) -> StructType:
     """The schema of df with more columns, given as "name type, ..."."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
@@ -60,6 +33,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def lean(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Spark hand Python workers so many rows at once, where the session has no setting of its own: texts may be long, and it holds a batch more than once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, rows)
+
+
 def hashed_sample(rows: DataFrame, by: str, key: list[str], most: int) -> DataFrame:
     """Of each value of a column at most so many rows, those with the smallest hashes of key and value.
 
@@ -68,7 +48,7 @@ def hashed_sample(rows: DataFrame, by: str, key: list[str], most: int) -> DataFr
     """
     counts = small(rows.groupBy(by).agg(F.count("*").alias("_of")), 100_000)
     near = rows.join(counts, by).withColumn("_h", F.pmod(F.xxhash64(*key, by), F.lit(1 << 40)))
-    near = near.filter(F.col("_h") * F.col("_of") <= F.lit(1.5 * most * (1 << 40)))
+    near = near.filter(F.col("_h") <= F.lit(1.5 * most * (1 << 40)) / F.col("_of"))  # in doubles, whatever the counts
     order = Window.partitionBy(by).orderBy("_h", *key)
     return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most).drop("_n", "_h", "_of")
 

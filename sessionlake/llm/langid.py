@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import hashed_sample
+from sessionlake.llm.common import hashed_sample, slices
 
 #: Buckets of hashed byte n-grams, and labelled documents of a language that the models are fitted on at most.
 BUCKETS, PER_LANGUAGE = 2048, 1000
@@ -105,7 +105,7 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["label", "x"])
 
 
@@ -137,7 +137,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.predict(features(t)) if t and LETTER.search(t) else (UNKNOWN, 0.0) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a for a, _ in found], pa.string()), pa.array([min(1.0, max(0.0, b)) for _, b in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -151,7 +151,7 @@ def keep(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             mask = []
             for text in batch.column(names.index("text")).to_pylist():
                 lang, score = model.predict(features(text)) if text and LETTER.search(text) else (UNKNOWN, 0.0)

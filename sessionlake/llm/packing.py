@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import extended, stage
+from sessionlake.llm.common import extended, slices, stage
 from sessionlake.llm.words import default_tokenizer, encoder
 
 #: Pieces of one length that one window group ranks, about.
@@ -29,7 +29,7 @@ def cut(docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None, end
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, width = encoder(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        for batch in slices(batches, 2048):
             cols: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = enc.encode(text) + end

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import hashed_sample, small
+from sessionlake.llm.common import hashed_sample, slices, small
 
 #: Ids of labelled documents that may be broadcast, 8 bytes each.
 BROADCAST_ROWS = 1_000_000
@@ -98,20 +98,22 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, pairs: int = PAIRS)
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t or "").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["label", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_label: int = PER_LABEL, pairs: int = PAIRS) -> Model:
     """Fit on labelled documents (labels: doc_id, quality 0 or 1; others are ignored) where learn, over doc_id, holds.
 
-    At most per_label of either label, those with the smallest hashes of doc_id; only they come to the driver.
+    At most per_label of either label, those with the smallest hashes of doc_id; only they come to the driver, and of rows
+    with one doc_id only the text with the smallest hash.
     """
     known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("label")).distinct()
     known = known if learn is None else known.filter(learn)
     shares = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = hashed_sample(known, "label", ["doc_id"], per_label).select(F.col("doc_id").alias("_id"), "label")
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # 2 * per_label rows
+    rows = rows.groupBy("_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("label", "x.text")
     got = sorted(((r["label"], bytes(r["x"])) for r in rows.select("label", "text").mapInArrow(_vectors, "label int, x binary").collect()))
     if not got:
         return train(np.zeros((1, len(features("")))), np.array([2]), np.ones(1), pairs)
@@ -128,7 +130,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shared.value.score(features(t or "")) for t in batch.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rate, "doc_id long, score double")
@@ -140,7 +142,7 @@ def keep(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     at = docs.columns.index("text")
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([shared.value.score(features(t or "")) >= threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(chosen, docs.schema)
