@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.llm import langid, line_dedup, ngram_join, packing, quality
-from sessionlake.llm.common import stage
+from sessionlake.llm.common import lean, stage
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +17,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts are scored as empty ones; without labels all stay; an empty table stays empty.
     """
+    lean(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
     return quality.keep(docs, model, quality.quantile_threshold(docs, labels, model, between=(0.05, 0.5)))
@@ -24,11 +25,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; null texts and those without a letter go; where nothing can be learned, all go."""
+    lean(spark)
     return langid.keep(docs, langid.fit(docs, F.lit(True)))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat another document's or their own; n_chars follows the text."""
+    lean(spark)
     left = line_dedup.dedup_lines(docs)
     return left.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
@@ -38,11 +41,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     The row with the smallest doc_id stays, null ids last; rows with a null text or without words all stay.
     """
+    lean(spark)
     return ngram_join.without_near_copies(docs, width=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 2048 tokens; a null text is an empty document; an empty table gives no row."""
+    lean(spark)
     return packing.pack_documents(docs)
 
 
