@@ -9,16 +9,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import components, drop_staged, slices, small, stage
 from sessionlake.llm.shingles import mix, shingler
 
-#: Documents and shingles of a tile, the part of a group that one task opens, and rows that may be broadcast.
-TILE_ROWS, TILE_TOKENS, BROADCAST_ROWS = 256, 200_000, 300_000
+#: Documents and shingles of a tile, the part of a group that one task opens, and rows that may be broadcast; to texts more may, as they are larger.
+TILE_ROWS, TILE_TOKENS, BROADCAST_ROWS, TEXT_ROWS = 256, 200_000, 300_000, 1_000_000
 #: Parts of fewer elements than this, on average, are often empty; so many parts that differences can't hit all of them.
 FEW_ELEMENTS, MANY = 6, 24
+#: Sets whose signatures a task remembers to have given.
+HAD = 50_000
 #: Ways to part a set that has hardly any elements in some part.
 WAYS = 6
 
@@ -97,15 +99,20 @@ def set_id(tokens: np.ndarray) -> int | None:
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set_id (fingerprint of the set; null where it is empty), sigs (its signatures)."""
+    """doc_id, text_hash, n_shingles, set_id (fingerprint of the set; null where it is empty), sigs (its signatures; none for a set that its task has just had)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = shingler(width)
+        make, had = shingler(width), set()
         for batch in slices(batches):
             found = [make.shingles(text) for text in batch.column(2).to_pylist()]
-            sigs = [signatures(tokens, percent).view(np.int64) for tokens in found]
+            names, sigs = [set_id(x) for x in found], []
+            for name, tokens in zip(names, found, strict=True):
+                sigs.append(np.empty(0, np.int64) if name in had else signatures(tokens, percent).view(np.int64))
+                had.add(name)
+            if len(had) > HAD:
+                had.clear()
             flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32()), pa.array(np.concatenate(sigs)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), pa.array([set_id(x) for x in found], pa.int64()), flat], ["doc_id", "text_hash", "n_shingles", "set_id", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), pa.array(names, pa.int64()), flat], ["doc_id", "text_hash", "n_shingles", "set_id", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string"))
     return rows.mapInArrow(hashed, "doc_id long, text_hash long, n_shingles long, set_id long, sigs array<long>")
@@ -238,7 +245,7 @@ def opened(pairs: DataFrame, asking: DataFrame, tiles: DataFrame, percent: int)
     return both.select("queries", *(f"{c}_{s}" for s in "ab" for c in ("ids", "sizes", "tokens"))).mapInArrow(compare, "a long, b long")
 
 
-def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows: int = BROADCAST_ROWS, tile_rows: int = TILE_ROWS) -> tuple[DataFrame, DataFrame]:
+def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows: int = BROADCAST_ROWS, tile_rows: int = TILE_ROWS, text_rows: int = TEXT_ROWS) -> tuple[DataFrame, DataFrame]:
     """(sets of all documents, components of set ids).
 
     1. Equal sets become one. A set's tokens, for looking up groups, are the signatures of its parts; a signature that
@@ -253,20 +260,23 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
        all tiles. A task passes on only links that connect, never all pairs of a group.
     """
     held = stage(sets(docs, width, percent), "sets")
-    kept = held.filter("set_id is not null and size(sigs) > 0").groupBy("set_id").agg(F.first("sigs").alias("sigs"))
-    each = kept.select("set_id", F.explode("sigs").alias("sig"))
-    counted = stage(each.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1"), "counted")
-    live = stage(each.join(small(counted, broadcast_rows), "sig"), "signatures")
-    members = stage(live.groupBy("set_id").agg(F.max_by("sig", F.struct("n", "sig")).alias("group")), "groups")
-    matrix = live.select("sig", "set_id").join(members, "set_id").select("sig", "group").distinct()
+    each = held.filter("set_id is not null").select("set_id", F.explode("sigs").alias("sig"))
+    # all signatures are dealt once: which are shared, and by how many sets, is told where they meet
+    of_sig, of_set = Window.partitionBy("sig"), Window.partitionBy("set_id")
+    bounds = each.withColumns({"_least": F.min("set_id").over(of_sig), "_most": F.max("set_id").over(of_sig)})
+    shared = bounds.filter("_least <> _most").select("set_id", "sig").distinct().withColumn("n", F.count("*").over(of_sig))
+    live = stage(shared.select("set_id", "sig", F.max_by("sig", F.struct("n", "sig")).over(of_set).alias("group")), "signatures")
+    members = stage(live.select("set_id", "group").distinct(), "groups")
+    matrix = live.select("sig", "group").distinct()
     left, right = matrix.select("sig", F.col("group").alias("a")), matrix.select("sig", F.col("group").alias("b"))
     met = stage(left.join(right, "sig").filter("a < b").select("a", "b").distinct(), "met")
 
     # the sets of groups, shingled again from one text each
-    first = stage(held.join(small(members, broadcast_rows), "set_id").groupBy("set_id", "group").agg(F.min("text_hash").alias("_hash"), F.first("n_shingles").alias("size")), "first")
+    first = stage(held.join(small(members, broadcast_rows), "set_id").groupBy("set_id", "group").agg(F.min(F.struct("text_hash", "doc_id")).alias("_of"), F.first("n_shingles").alias("size")), "first")
     sizes = stage(first.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / tile_rows), F.ceil(F.sum("size") / TILE_TOKENS)).alias("tiles")), "group-sizes")
-    wanted = stage(first.join(small(sizes, broadcast_rows), "group").select("_hash", F.col("set_id").alias("_set"), "group", F.pmod(F.xxhash64("set_id"), "tiles").alias("tile")), "wanted")
-    texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("_hash"), F.col("text").cast("string").alias("text")).join(small(wanted, broadcast_rows), "_hash")
+    wanted = stage(first.join(small(sizes, broadcast_rows), "group").select(F.col("_of.text_hash").alias("_hash"), F.col("_of.doc_id").alias("_id"), F.col("set_id").alias("_set"), "group", F.pmod(F.xxhash64("set_id"), "tiles").alias("tile")), "wanted")
+    texts = docs.select(F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(small(wanted, text_rows), (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "_set", "group", "tile")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler(width)
@@ -275,7 +285,7 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
             same = pa.array([set_id(x) == b for x, b in zip(found, batch.column("_set").to_pylist(), strict=True)])  # of texts of one hash
             yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("tile"), batch.column("_set"), pa.array([x.tobytes() for x in found], pa.binary())], ["group", "tile", "set_id", "tokens"]).filter(same)
 
-    tiles = tiled(texts.mapInArrow(again, "group long, tile long, set_id long, tokens binary").dropDuplicates(["group", "tile", "set_id"]))
+    tiles = tiled(texts.mapInArrow(again, "group long, tile long, set_id long, tokens binary").repartition("group", "tile").dropDuplicates(["group", "tile", "set_id"]))
     numbers = tiles.select("group", "tile")
     to_first = numbers.filter("tile > 0").select(F.col("group").alias("a"), F.col("tile").alias("ta"), F.col("group").alias("b"), F.lit(0).cast("long").alias("tb"))
     firsts = met.select("a", F.lit(0).cast("long").alias("ta"), "b", F.lit(0).cast("long").alias("tb"))
@@ -298,7 +308,7 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
         of_all = unlike.join(numbers.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").filter("ta > 0 or tb > 0").select("a", "ta", "b", "tb")
         edges = edges.union(stage(opened(of_others, asking, tiles, percent).union(opened(of_all, tiles, tiles, percent)), "set-links"))
     found = components(edges)
-    drop_staged(live, counted, members, met, first, sizes, wanted, tiles)
+    drop_staged(live, members, met, first, sizes, wanted, tiles)
     return held.drop("sigs"), found
 
 

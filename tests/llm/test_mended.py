@@ -82,3 +82,19 @@ def test_quality_sample_holds_one_text_of_a_repeated_id(spark, monkeypatch):
     monkeypatch.setattr(quality, "train", lambda x, y, weight, pairs: sizes.append(len(x)))
     quality.fit(docs, labels)
     assert sizes == [2]
+
+
+def test_signatures_are_dealt_once(spark, monkeypatch):
+    plans, real = {}, ngram_join.stage
+
+    def staged(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", staged)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words), " ".join(words), " ".join([*words, "end"]), " ".join(reversed(words))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 3}
+    assert plans["signatures"].count("Exchange hashpartitioning") == 2  # by signature and by set
+    assert plans["tiles"].count("Exchange hashpartitioning") == 1  # the sets' shingles move once
