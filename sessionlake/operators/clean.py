@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlake.operators.stats import came
+
 
 def stable_sort(stream: DataFrame, by: str, arrival: str = "arrival") -> DataFrame:
     """Adds pos: the order by (t, arrival), or the order of arrival for a session where any t is missing."""
     whole = F.bool_and(F.col("t").isNotNull()).over(Window.partitionBy(by))
     rows = stream.withColumn("_key", F.when(whole, F.col("t")).otherwise(F.lit(0)))
-    return rows.withColumn("pos", F.row_number().over(Window.partitionBy(by).orderBy("_key", arrival))).drop("_key")
+    return rows.withColumn("pos", F.row_number().over(Window.partitionBy(by).orderBy("_key", *came(stream, arrival)))).drop("_key")
 
 
 def dedupe_first(stream: DataFrame, keys: list[str], arrival: str = "arrival") -> DataFrame:
     """Of rows with equal keys the one that came first."""
-    return stream.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(arrival))).filter("_n = 1").drop("_n")
+    return stream.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*came(stream, arrival)))).filter("_n = 1").drop("_n")
 
 
 def fill(stream: DataFrame, by: str, columns: list[str], arrival: str = "arrival") -> DataFrame:
     """Empty and null cells take the last value before them, or else the first one of the session."""
-    before = Window.partitionBy(by).orderBy(arrival).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = came(stream, arrival)
+    before = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = stream
     for c in columns:
         known = F.nullif(F.col(c), F.lit(""))
-        first = F.min_by(known, F.when(known.isNotNull(), F.col(arrival))).over(Window.partitionBy(by))
+        first = F.min_by(known, F.when(known.isNotNull(), F.struct(*order))).over(Window.partitionBy(by))
         out = out.withColumn(c, F.coalesce(F.last(known, True).over(before), first))
     return out
 

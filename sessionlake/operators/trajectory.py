@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlake.operators.stats import came
+
 STEP_S = 0.016
 
 
@@ -64,7 +66,7 @@ def debounce(rows: DataFrame, by: str, order: str, inside: str, stable: int = 30
 
 def monotonic_clock(rows: DataFrame, by: str, order: str) -> DataFrame:
     """Adds clock: t, or the clock before plus one where t isn't later."""
-    w = Window.partitionBy(by).orderBy(order)
+    w = Window.partitionBy(by).orderBy(*came(rows, order))
     n = rows.withColumn("_n", F.row_number().over(w).cast("long"))
     return n.withColumn("clock", F.max(F.col("t") - F.col("_n")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("_n")).drop("_n")
 

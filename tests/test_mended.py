@@ -1,6 +1,8 @@
-"""Cases that failed before: sheets of one id."""
+"""Cases that failed before: sheets of one id, rows that arrive at once."""
 
-from sessionlake.operators import manifest
+from pyspark.sql import functions as F
+
+from sessionlake.operators import clean, manifest, stats, trajectory
 
 
 def test_sheets_of_one_id_have_all_their_rows(spark):
@@ -8,3 +10,20 @@ def test_sheets_of_one_id_have_all_their_rows(spark):
     sheets = spark.createDataFrame([("s", "s_100", "a0", "a1", 2), ("s", "s_100", "a2", "a3", 2)], "split string, sheet_id string, start_session string, end_session string, session_count int")
     got = manifest.sheet_sessions(sessions, sheets).collect()
     assert sorted(r["session"] for r in got if r["ok"]) == ["a2", "a3"]  # the greatest last session of the id's sheets, as in the SQL
+
+
+def test_rows_that_arrive_at_once_keep_their_order(spark):
+    # every two rows arrive at once; t falls within each pair by row_index
+    rows = [(1, k, k // 2, 10 * (k // 2) + 5 - k % 2, "" if k % 2 else str(k)) for k in range(40)]
+    for order in (rows, rows[::-1]):
+        stream = spark.createDataFrame(order, "session long, row_index long, arrival long, t long, cell string").coalesce(1)
+        assert stats.deltas(stream, ["session"]).filter("delta < 0").count() == 20
+        assert stats.timing_checker(stream, ["session"]).first()["duration_us"] == 189
+        assert stats.reordered(stream, "session").first()["rows_reordered"] == 40
+        filled = {r["row_index"]: r["cell"] for r in clean.fill(stream, "session", ["cell"]).collect()}
+        assert filled == {k: str(k - k % 2) for k in range(40)}
+        same = stream.withColumn("t", F.lit(1).cast("long"))
+        assert all(r["pos"] == r["row_index"] + 1 for r in clean.stable_sort(same, "session").collect())
+        assert all(r["row_index"] % 2 == 0 for r in clean.dedupe_first(stream, ["session", "arrival"]).collect())
+        clock = {r["row_index"]: r["clock"] for r in trajectory.monotonic_clock(stream, "session", "arrival").collect()}
+        assert [clock[0], clock[1], clock[2], clock[3]] == [5, 6, 15, 16]
