@@ -10,15 +10,17 @@ from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from sessionlake.sources.packets import store_of
 
 SCHEMA = "session string, window_id long, start_us long, end_us long, center_us long, tensor array<array<double>>"
-#: Windows of an archive, and rows that a task gives at once.
-WINDOWS = 4096
+#: Windows of an archive, and rows that a task gives at once; tasks that read one archive each, beyond which a task reads several.
+WINDOWS, TASKS = 4096, 512
+NUMBERS = ("window_id", "start_us", "end_us", "center_us")
 COMMITTED = "_committed"
 
 
@@ -34,25 +36,43 @@ def session_of(name: str) -> str:
 class Archive(InputPartition):
     path: str
     session: str
+    more: tuple[tuple[str, str], ...] = ()
+
+
+def batch_of(session: str, numbers: Sequence[np.ndarray], data: np.ndarray) -> pa.RecordBatch:
+    """Windows of a session with their tensors, windows by rows by channels."""
+    n, rows, channels = data.shape
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(n * rows + 1, dtype="i4") * channels), pa.array(data.reshape(-1).astype("f8")))
+    tensor = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype="i4") * rows), inner)
+    return pa.RecordBatch.from_arrays([pa.array([session] * n, pa.string()), *(pa.array(x.astype("i8")) for x in numbers), tensor], ["session", *NUMBERS, "tensor"])
+
+
+def tensors_of(column: pa.Array) -> np.ndarray:
+    """The tensors of a column as windows by rows by channels; a missing number is NaN, unlike shapes are an error."""
+    rows = column.flatten()
+    values = rows.flatten().to_numpy(zero_copy_only=False).astype("f8")
+    tall, wide = column.value_lengths().unique(), rows.value_lengths().unique()
+    if len(tall) != 1 or len(wide) > 1 or column.null_count or rows.null_count:
+        raise ValueError("tensors of unlike shapes in one archive")
+    return values.reshape(len(column), tall[0].as_py(), wide[0].as_py() if len(wide) else 0)
 
 
 class TensorReader(DataSourceReader):
-    """A partition an archive."""
+    """A partition an archive, or several where there are very many."""
 
     def __init__(self, path: str):
         self.path, self.wanted = path, None
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [Archive(p, s) for p, s in committed(self.path) if self.wanted is None or s in self.wanted]
+        found = [(p, s) for p, s in committed(self.path) if self.wanted is None or s in self.wanted]
+        each = -(-len(found) // TASKS) or 1
+        return [Archive(*found[k], tuple(found[k + 1 : k + each])) for k in range(0, len(found), each)]
 
-    def read(self, partition: Archive | None) -> Iterator[tuple]:
-        if partition is None:
-            return
-        store, inner = store_of(partition.path)
-        with store.open_input_file(inner) as file, np.load(io.BytesIO(file.readall()), allow_pickle=False) as z:
-            shape = z["data"].shape
-            for k in range(shape[0]):
-                yield partition.session, *(int(z[c][k]) for c in ("window_id", "start_us", "end_us", "center_us")), z["data"][k].tolist()
+    def read(self, partition: Archive | None) -> Iterator[pa.RecordBatch]:
+        for path, session in ((partition.path, partition.session), *partition.more) if partition else ():
+            store, inner = store_of(path)
+            with store.open_input_file(inner) as file, np.load(io.BytesIO(file.readall()), allow_pickle=False) as z:
+                yield batch_of(session, [z[c] for c in NUMBERS], z["data"])
 
 
 class PruningReader(TensorReader):
@@ -85,31 +105,37 @@ class Written(WriterCommitMessage):
     names: list[str]
 
 
-class TensorWriter(DataSourceWriter):
+class TensorWriter(DataSourceArrowWriter):
     """Rows come clustered by session; archives of failed or repeated tasks are never named in a commit."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         names: list[str] = []
-        held: list[tuple] = []
-        for row in iterator:
-            if held and (row[0] != held[0][0] or len(held) == WINDOWS):
-                names.append(self._archive(held))
-                held = []
-            held.append(tuple(row))
+        held: list[pa.RecordBatch] = []
+        session, n = None, 0
+        for batch in iterator:
+            at, keys = 0, batch.column(0).to_pylist()
+            while at < len(keys):
+                if held and (keys[at] != session or n == WINDOWS):
+                    names.append(self._archive(session, held))
+                    held, n = [], 0
+                session, start = keys[at], at
+                while at < len(keys) and keys[at] == session and n < WINDOWS:
+                    at, n = at + 1, n + 1
+                held.append(batch.slice(start, at - start))
         if held:
-            names.append(self._archive(held))
+            names.append(self._archive(session, held))
         return Written(names)
 
-    def _archive(self, rows: list[tuple]) -> str:
+    def _archive(self, session: str, held: list[pa.RecordBatch]) -> str:
         store, inner = store_of(self.path)
         store.create_dir(inner, recursive=True)
-        name = archive_name(rows[0][0], uuid.uuid4().hex)
-        arrays = {c: np.array([r[k] for r in rows], "i8") for k, c in enumerate(("window_id", "start_us", "end_us", "center_us"), 1)}
+        name = archive_name(session, uuid.uuid4().hex)
+        arrays = {c: np.concatenate([b.column(k).to_numpy() for b in held]) for k, c in enumerate(NUMBERS, 1)}
         out = io.BytesIO()
-        np.savez(out, data=np.array([r[5] for r in rows], "f8"), **arrays)
+        np.savez(out, data=np.concatenate([tensors_of(b.column(5)) for b in held]), **arrays)
         with store.open_output_stream(f"{inner}/{name}") as file:
             file.write(out.getvalue())
         return name
