@@ -11,13 +11,22 @@ import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 #: The sensor's packet.
 CHANNELS, PACKET = 64, struct.Struct("<Q64h")
 MARK, HEAD = b"\xa5\x5aPK", struct.Struct("<4sHI")
+#: The payload and the whole record as arrays.
+PAYLOAD = np.dtype([("clock", "<u8"), ("channels", "<i2", (CHANNELS,))])
+RECORD = np.dtype([("mark", "S4"), ("n", "<u2"), ("check", "<u4"), ("payload", PAYLOAD)])
+#: Records that a task gives at once.
+ROWS = 4096
 #: Longest record; bytes of a file that one task reads at most.
 LONGEST, SPLIT = HEAD.size + 65535, 8 << 20
 SCHEMA = "sensor_timestamp_us long, channels array<int>"
@@ -67,16 +76,50 @@ def ranges(path: str, start: int, end: int) -> list[Range]:
     return [Range(path, a, min(end, a + SPLIT)) for a in range(start, end, SPLIT)]
 
 
-def read_range(part: Range) -> Iterator[tuple[int, list[int]]]:
-    """Packets of the records that start in the range; payloads shorter than a packet are passed over."""
+def payloads(part: Range) -> Iterator[bytes]:
+    """Packets of the records that start in the range, as bytes; payloads shorter than a packet are passed over."""
     store, inner = store_of(part.path)
     with store.open_input_file(inner) as file:
         file.seek(part.start)
         data = file.read(part.end - part.start + LONGEST)
     for _, _, payload in records(data, part.end - part.start):
         if len(payload) >= PACKET.size:
-            clock, *channels = PACKET.unpack_from(payload)
-            yield clock, channels
+            yield payload[: PACKET.size]
+
+
+def read_range(part: Range) -> Iterator[tuple[int, list[int]]]:
+    """Packets of the records that start in the range."""
+    for payload in payloads(part):
+        clock, *channels = PACKET.unpack(payload)
+        yield clock, channels
+
+
+def read_batches(part: Range) -> Iterator[pa.RecordBatch]:
+    """The same in batches."""
+    found = payloads(part)
+    while some := list(islice(found, ROWS)):
+        x = np.frombuffer(b"".join(some), PAYLOAD)
+        channels = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype="i4") * CHANNELS), pa.array(x["channels"].reshape(-1).astype("i4")))
+        yield pa.RecordBatch.from_arrays([pa.array(x["clock"].astype("i8")), channels], ["sensor_timestamp_us", "channels"])
+
+
+def framed_batch(batch: pa.RecordBatch) -> bytes:
+    """The records of a batch's packets; rows without a clock or with another number of channels are passed over."""
+    clock, channels = batch.columns
+    batch = batch.filter(pc.fill_null(pc.and_(clock.is_valid(), pc.equal(pc.list_value_length(channels), CHANNELS)), False))
+    if not batch.num_rows:
+        return b""
+    clock, values = batch.column(0).to_numpy(), batch.column(1).flatten()
+    if values.null_count:
+        raise ValueError("a packet lacks a channel")
+    values = values.to_numpy()
+    if clock.min() < 0 or values.min() < -32768 or values.max() > 32767:
+        raise ValueError("a clock below 0, or a channel beyond 16 bits")
+    out = np.zeros(batch.num_rows, RECORD)
+    out["mark"], out["n"], out["payload"]["clock"], out["payload"]["channels"] = MARK, PACKET.size, clock, values.reshape(-1, CHANNELS)
+    packed, size = out["payload"].tobytes(), PACKET.size
+    out["check"] = [zlib.crc32(packed[k : k + size]) for k in range(0, len(packed), size)]
+    return out.tobytes()
 
 
 def packet_files(path: str) -> dict[str, int]:
@@ -108,8 +151,8 @@ class Stream(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         return [r for path, size in sorted(end.items()) for r in ranges(path, start.get(path, 0), size)]
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        return read_range(partition)
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return read_batches(partition)
 
 
 class Batch(DataSourceReader):
@@ -119,8 +162,8 @@ class Batch(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         return [r for path, size in sorted(packet_files(self.path).items()) for r in ranges(path, 0, size)]
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        return read_range(partition)
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return read_batches(partition)
 
 
 @dataclass
@@ -128,20 +171,19 @@ class Written(WriterCommitMessage):
     path: str
 
 
-class Writer(DataSourceWriter):
+class Writer(DataSourceArrowWriter):
     """A task writes a hidden file; the commit gives those of the tasks that succeeded their names."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, inner = store_of(self.path)
         store.create_dir(inner, recursive=True)
         name = f"{inner}/_{uuid.uuid4().hex}"
         with store.open_output_stream(name) as out:
-            for clock, channels in iterator:
-                if clock is not None and channels is not None and len(channels) == CHANNELS:
-                    out.write(framed(PACKET.pack(clock, *channels)))
+            for batch in iterator:
+                out.write(framed_batch(batch))
         return Written(name)
 
     def commit(self, messages: list[Written]) -> None:
