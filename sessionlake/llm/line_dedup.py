@@ -13,15 +13,17 @@ from sessionlake.llm.common import components, drop_staged, small, stage
 MIN_CHARS, SPACES = 12, " \t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Bytes a word, on average, above which runs of GRAM characters stand for words (scripts without spaces).
 LONG_WORD, GRAM = 30, 4
-#: Words of a line that takes part, edit similarity and differing SimHash bits of a link.
-MIN_WORDS, SIMILARITY, BITS = 5, 0.8, 18
+#: Words of a line that takes part, edit similarity of a link.
+MIN_WORDS, SIMILARITY = 5, 0.8
 #: Words with fewer bytes come last in a line's order of words; distinct words that vote for its SimHash bits, and
-#: those whose triples are keys.
-SHORT_WORD, VOTERS, SKETCH = 6, 32, 4
+#: those whose triples are keys; words after the second of that order that are keys with the next two.
+SHORT_WORD, VOTERS, SKETCH, RUNS = 6, 32, 4, 12
 #: Positions and keys that may be broadcast, some 24 bytes each.
 BROADCAST_ROWS = 500_000
 #: Words above which edit similarity is that of the sequences of words, not of characters, and the values that stand for words.
 WORDWISE, CODES = 48, 127
+#: Longs whose bits stand for the words of a line.
+MARKS = 8
 #: Edit distances that are tried one after the other, as far as the line allows.
 TIERS = (8, 32, 128, 512)
 #: One in each of the eight counters that share a long, and the bits of a half of the SimHash.
@@ -49,12 +51,13 @@ def with_words(rows: DataFrame) -> DataFrame:
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """Add sim, a SimHash, and k0 to k3, keys, to rows with a line.
+    """Add sim, a SimHash, and keys, k0 to k3 and an array runs, to rows with a line.
 
     The distinct words' hashes are sorted, short words last, so that common words seldom come first. The first VOTERS of
     them vote: each adds its bits to counters, eight of which share a long, so a word costs eight sums of a shift and a
     mask; a bit of the SimHash is set where more than half of the voters have it. The keys are the triples of the first
-    SKETCH words: lines of which one such word at most differs share one.
+    SKETCH words: lines of which one such word at most differs share one. Where more words differ, lines still share one
+    of runs, the triples of neighbours further on that begin with a word that isn't short, if such a triple is untouched.
     """
     value = "shiftrightunsigned(xxhash64(w), 2) | if(octet_length(w) < {0}, {1}L, 0L)".format(SHORT_WORD, 1 << 62)
     rows = with_words(rows).withColumn("h", F.expr(f"slice(sort_array(array_distinct(transform(words, w -> {value}))), 1, {VOTERS})")).drop("words")
@@ -63,7 +66,9 @@ def signed(rows: DataFrame) -> DataFrame:
     triples = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3)]
     whole = F.expr(f"size(h) < {SKETCH}")
     keys = [F.when(whole, F.xxhash64("h") if k == 0 else F.lit(None).cast("long")).otherwise(F.xxhash64(*(F.get("h", F.lit(i)) for i in t))).alias(f"k{k}") for k, t in enumerate(triples)]
-    return rows.select(*(c for c in rows.columns if c not in ("h", "most")), F.expr(" | ".join(votes)).alias("sim"), *keys)
+    run = f"transform(sequence({SKETCH - 2}, least(size(h), {SKETCH + RUNS}) - 3), i -> if(h[i] < {1 << 62}L, xxhash64(h[i], h[i + 1], h[i + 2]), null))"
+    runs = F.expr(f"if(size(h) > {SKETCH}, {run}, cast(array() as array<bigint>))")
+    return rows.select(*(c for c in rows.columns if c not in ("h", "most")), F.expr(" | ".join(votes)).alias("sim"), *keys, runs.alias("runs"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -83,22 +88,23 @@ def word_codes(similar: DataFrame) -> DataFrame:
 
 
 def with_kinds(rows: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Add size, the words of each row's line, and kinds, hashes of the distinct ones (null where the line has few words)."""
+    """Add size, the words of each row's line, and m0 to m7, a bit for the hash of each word."""
     found = with_words(texts(rows.select("id").distinct())).withColumn("size", F.size("words"))
-    kinds = F.when(F.col("size") > WORDWISE // 2, F.expr("array_distinct(transform(words, w -> hash(w)))"))
-    return rows.join(stage(found.select("id", "size", kinds.alias("kinds")), "line-kinds"), "id")
+    found = found.withColumn("hashes", F.expr("transform(words, w -> hash(w))"))
+    marks = [F.expr(f"aggregate(hashes, 0L, (a, x) -> a | if((shiftright(x, 6) & {MARKS - 1}) = {k}, shiftleft(1L, x & 63), 0L))").alias(f"m{k}") for k in range(MARKS)]
+    return rows.join(stage(found.select("id", "size", *marks), "line-kinds"), "id")
 
 
 def may_link(similarity: float) -> Column:
     """False for pairs that verified() would compare by words and whose distinct words alone make more edits than it allows.
 
-    Each word that one line has and the other lacks takes an edit of its own, so their number is a lower bound of the
-    edits between the words. verified() takes some unlike words as equal (see CODES), so pairs that would link by that
-    alone are left out here. Pairs that are compared by characters stay.
+    Each word that one line has and the other lacks takes an edit of its own, and so does each bit that one has and the
+    other lacks, so their number is a lower bound of the edits between the words. verified() takes some unlike words as
+    equal (see CODES), so pairs that would link by that alone are left out here. Pairs that are compared by characters stay.
     """
     most = F.greatest("wa", "wb")
-    edits = F.greatest(F.size("ca"), F.size("cb")) - F.size(F.array_intersect("ca", "cb"))
-    return (most <= WORDWISE) | (edits <= allowed(most, similarity))
+    lacks = lambda x, y: sum(F.bit_count(F.col(f"{x}{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}{k}")))) for k in range(MARKS))
+    return (most <= WORDWISE) | (F.greatest(lacks("ma", "mb"), lacks("mb", "ma")) <= allowed(most, similarity))
 
 
 def allowed(length: Column, similarity: float) -> Column:
@@ -131,34 +137,34 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], similari
     return linked
 
 
-def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], bits: int = BITS, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, component) of lines that link: a key in common, SimHashes that differ in at most `bits` bits, enough edit similarity.
+def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY) -> DataFrame:
+    """(id, component) of lines that link: a key in common and enough edit similarity.
 
-    lines: id, sim, length, k0 to k3; the halves of sim are keys too. texts(ids) gives the normalised lines of ids. First
-    the lines of a key are compared with the least of them; what links becomes connected. Then the other pairs follow,
-    but none whose lines are connected already, so many copies of a line with small changes don't make all their pairs.
+    lines: id, sim, length, k0 to k3, runs, a line as often as it occurs; the halves of sim are keys too. texts(ids) gives
+    the normalised lines of ids. First the lines of a key are compared with the least of them; what links becomes
+    connected. Then the other pairs follow, but none whose lines are connected already, so many copies of a line with
+    small changes don't make all their pairs.
     """
     near = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-    alike = (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= bits) & near
     half = F.lit((1 << HALF) - 1).cast("long")
     halves = [F.shiftrightunsigned("sim", HALF * k).bitwiseAND(half) + F.lit(k << HALF) for k in (0, 1)]
-    rows = lines.select("id", "sim", "length", F.explode(F.array("k0", "k1", "k2", "k3", *halves)).alias("key")).filter("key is not null")
-    shared = stage(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1").drop("n"), "shared-keys")
-    live = stage(rows.join(small(shared, BROADCAST_ROWS), "key"), "live-lines")
-    ends = lines.select(F.col("id").alias("a"), F.col("sim").alias("sa"), F.col("length").alias("na")).join(small(shared.select(F.col("first").alias("a")).distinct(), BROADCAST_ROWS), "a", "left_semi")
-    stars = live.select(F.col("first").alias("a"), F.col("id").alias("b"), F.col("sim").alias("sb"), F.col("length").alias("nb")).filter(F.col("a") != F.col("b")).distinct()
-    first = stars.join(ends, "a").filter(alike).select("a", "b")
-    groups = stage(components(verified(stage(first, "line-pairs"), texts, similarity)), "line-groups")
+    rows = lines.select("id", "length", F.explode(F.concat(F.array("k0", "k1", "k2", "k3", *halves), "runs")).alias("key")).filter("key is not null")
+    shared = stage(rows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last").drop("last"), "shared-keys")
+    live = stage(rows.join(small(shared, BROADCAST_ROWS), "key").dropDuplicates(["key", "id"]), "live-lines")
+    ends = live.filter("id = first").select(F.col("id").alias("a"), F.col("length").alias("na")).distinct()
+    stars = live.select(F.col("first").alias("a"), F.col("id").alias("b"), F.col("length").alias("nb")).filter(F.col("a") != F.col("b")).distinct()
+    first = stage(stars.join(ends, "a").filter(near).select("a", "b"), "line-pairs")
+    groups = stage(components(verified(first, texts, similarity)), "line-groups")
     grouped = live.drop("first").join(groups, "id", "left").withColumn("group", F.coalesce("component", "id")).drop("component")
     mixed = grouped.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo <> hi").select("key")  # others are connected
     mixed = stage(mixed, "mixed-keys")
     rest = stage(grouped.join(small(mixed, BROADCAST_ROWS), "key", "left_semi"), "mixed-lines")
-    counted = stage(with_kinds(rest, texts), "counted-lines")
-    one, two = (counted.select("key", *(F.col(c).alias(to + k) for c, to in {"group": "g", "id": "", "sim": "s", "length": "n", "size": "w", "kinds": "c"}.items())) for k in "ab")
-    ends = F.struct("a", F.col("ga").alias("g")), F.struct(F.col("b").alias("a"), F.col("gb").alias("g"))
-    more = two.join(one, "key").filter((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & alike & may_link(similarity)).select(F.least(*ends).alias("lo"), F.greatest(*ends).alias("hi")).distinct()
-    more = stage(more.select(F.col("lo.a").alias("a"), F.col("hi.a").alias("b"), F.col("lo.g").alias("ga"), F.col("hi.g").alias("gb")).join(first, ["a", "b"], "left_anti"), "line-pairs")
-    drop_staged(shared, live, mixed, rest, counted)
+    marked = stage(with_kinds(rest, texts), "marked-lines")
+    names = {"group": "g", "id": "", "length": "n", "size": "w"}
+    one, two = (marked.select("key", *(F.col(c).alias(to + k) for c, to in names.items()), *(F.col(f"m{i}").alias(f"m{k}{i}") for i in range(MARKS))) for k in "ab")
+    more = two.join(one, "key").filter((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near & may_link(similarity)).select("a", "b", "ga", "gb").distinct()
+    more = stage(more.join(first, ["a", "b"], "left_anti"), "line-pairs")
+    drop_staged(shared, live, mixed, rest, marked)
     if more.isEmpty():
         return groups
     joined = verified(more, texts, similarity).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
@@ -167,16 +173,15 @@ def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], bits
     return stage(groups.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component")).union(alone).distinct(), "line-groups")
 
 
-def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, key (xxhash64 of the text) and gone, the positions of lines that repeat an earlier one; staged."""
     seen = occurrences(docs)
-    kinds = ["sim", "length", "k0", "k1", "k2", "k3"]
-    lines = stage(seen.groupBy("id").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in kinds)), "lines")
+    lines = stage(seen.groupBy("id").agg(F.count("*").alias("times")), "lines")
 
     def texts(wanted: DataFrame) -> DataFrame:
         return seen.select("id", "line").join(small(stage(wanted, "wanted"), BROADCAST_ROWS), "id", "left_semi").dropDuplicates(["id"])
 
-    groups = fuzzy_groups(lines.drop("times"), texts, bits, similarity).withColumnRenamed("component", "group")
+    groups = fuzzy_groups(seen, texts, similarity).withColumnRenamed("component", "group")
     repeated = lines.select("id", "times").join(groups, "id", "left").filter("times > 1 or group is not null")
     repeated = stage(repeated.select("id", F.coalesce("group", "id").alias("group")), "repeated")
     places = stage(seen.select("id", "doc_id", "key", "pos").join(small(repeated, BROADCAST_ROWS), "id").drop("id"), "places")
@@ -188,19 +193,19 @@ def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY, bits: int
     return found
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with all its columns, repeated lines taken out of text, and n_lines and n_removed added (in place of columns so named).
 
     Lines are normalised (case, white space at the ends). Lines of MIN_WORDS words or MIN_CHARS characters or more link
     when they are equal, or when they have a key in common (see signed: a triple of sorted word hashes, or half of the
-    SimHash), their SimHashes differ in at most `bits` bits and their edit similarity is at least `similarity`; of each
+    SimHash) and their edit similarity is at least `similarity`; of each
     connected group the occurrence with the smallest doc_id (nulls first; then text hash, then position) stays. Shorter
     and blank lines stay. No document is taken out: one that only repeats others keeps its row, with the text that is
     left, perhaps empty. Null texts stay null with 0 lines; rows with one doc_id and text are one document, and alike in
     the result; an empty table gives none.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    gone = dropped_positions(docs.select("doc_id", F.col("text").cast("string")), similarity, bits)
+    gone = dropped_positions(docs.select("doc_id", F.col("text").cast("string")), similarity)
     size = gone.agg(F.coalesce(F.sum(F.size("gone") + 4), F.lit(0))).first()[0]
     gone = F.broadcast(gone) if size <= BROADCAST_ROWS * 4 else gone
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").alias("text"))

@@ -1,12 +1,13 @@
 """Cases that failed before: overflow of sample shares, groups of unlike sets, comments and forms longer than the article."""
 
 import random
+import string
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from sessionlake.llm import bpe, common, html_extract, ngram_join, quality, queries
+from sessionlake.llm import bpe, common, html_extract, line_dedup, ngram_join, quality, queries
 from sessionlake.llm.shingles import mix
 
 
@@ -98,3 +99,17 @@ def test_signatures_are_dealt_once(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 3}
     assert plans["signatures"].count("Exchange hashpartitioning") == 2  # by signature and by set
     assert plans["tiles"].count("Exchange hashpartitioning") == 1  # the sets' shingles move once
+
+
+def test_line_dedup_finds_lines_with_scattered_letters_changed(spark):
+    draw, rows = random.Random(5), []
+    for size in (8, 12, 20, 40):
+        for _ in range(40):
+            words = ["".join(draw.choices(string.ascii_lowercase, k=draw.randrange(3, 10))) for _ in range(size)]
+            rows.append((len(rows), " ".join(words)))
+            for i in range(draw.randrange(4), size, 4):
+                j = draw.randrange(len(words[i]))
+                words[i] = words[i][:j] + draw.choice(string.ascii_lowercase) + words[i][j + 1 :]
+            rows.append((len(rows), " ".join(words)))
+    gone = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed > 0").count()
+    assert gone >= 0.9 * len(rows) / 2  # 103 of 160 in a like run before there were keys of runs
