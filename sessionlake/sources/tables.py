@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from sessionlake.functions import parse
 from sessionlake.operators.manifest import COLUMNS
-from sessionlake.sources.quoted_csv import read_quoted_csv
+from sessionlake.sources.quoted_csv import read_quoted_columns
 
 #: Columns of the simulated gripper's force log, of preview sheets and of range annotations.
 FORCES = "step long, phase int, phase_name string, finger1_fx double, finger1_fy double, finger1_fz double, finger2_fx double, finger2_fy double, finger2_fz double"
@@ -23,21 +23,22 @@ _DOUBLES = frozenset("pressure_hz robot_hz gripper_hz".split())
 MANIFEST = ", ".join(f"{c} {'long' if c in _LONGS else 'double' if c in _DOUBLES else 'string'}" for c in COLUMNS)
 
 
-def typed(cells: DataFrame, schema: str) -> DataFrame:
-    """path, row_index and columns of the schema from cells (map of column to text): a missing column and a number that is none are null."""
+def _value(text: Column, kind: str) -> Column:
+    if kind in ("bigint", "int"):
+        return parse.safe_int(text).cast(kind)
+    return parse.safe_float(text) if kind == "double" else text.cast(kind)
 
-    def cell(name: str, kind: str) -> Column:
-        c = F.try_element_at("cells", F.lit(name))
-        if kind in ("bigint", "int"):
-            return parse.safe_int(c).cast(kind)
-        return parse.safe_float(c) if kind == "double" else c.cast(kind)
 
-    return cells.select("path", "row_index", *(cell(f.name, f.dataType.simpleString()).alias(f.name) for f in StructType.fromDDL(schema)))
+def typed(cells: DataFrame, schema: str) -> DataFrame:
+    """path, row_index and columns of the schema from cells (map of column to text): a missing column and a number that is none are null."""
+    return cells.select("path", "row_index", *(_value(F.try_element_at("cells", F.lit(f.name)), f.dataType.simpleString()).alias(f.name) for f in StructType.fromDDL(schema)))
 
 
 def read_table(spark: SparkSession, path: str, schema: str, glob: str = "*.csv") -> DataFrame:
-    """CSV files bound to the schema by their headers, with quoted cells: path, row_index and the schema's columns."""
-    return typed(read_quoted_csv(spark, path, glob), schema)
+    """CSV files bound to the schema by their headers, with quoted cells: path, row_index and the schema's columns, as typed() has them."""
+    fields = list(StructType.fromDDL(schema))
+    rows = read_quoted_columns(spark, path, [f.name for f in fields], glob)
+    return rows.select("path", "row_index", *(_value(F.col(f.name), f.dataType.simpleString()).alias(f.name) for f in fields))
 
 
 def grip_forces(rows: DataFrame, by: str = "path", rest: int = 0) -> DataFrame:

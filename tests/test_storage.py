@@ -64,6 +64,23 @@ def test_quoted_csv_equals_csv_module(spark, tmp_path, size):
     assert sorted(((r["path"].rsplit("/", 1)[1], r["row_index"], r["cells"]) for r in got), key=order) == sorted(want, key=order)
 
 
+def test_records_within_a_split_are_cut_by_the_task_that_reads_it(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    lines = [("f", 0, ["k,v", '1,"a, b"', "", '2,"open']), ("f", 40, ["still", 'end",x', "3,y"])]
+    states = {("f", 0): (0, 0), ("f", 40): (1, 3)}
+    batches = [pa.RecordBatch.from_pylist([{"path": p, "split": s, "entry": states[p, s][0], "records": states[p, s][1], "line": x} for x in ls]) for p, s, ls in lines]
+    got = [(r["record"], r["text"], r["row"]) for b in quoted_csv._cut(iter(batches)) for r in b.to_pylist()]
+    assert got == [(0, None, ["k", "v"]), (1, None, ["1", "a, b"]), (2, '2,"open', None), (2, 'still\nend",x', None), (3, None, ["3", "y"])]
+    assert [tuple(r.values()) for b in quoted_csv._functions(b.select(["path", "split", "line"]) for b in batches) for r in b.to_pylist()] == [("f", 0, 1, 1, 3, 1), ("f", 40, 0, 0, 3, 1)]
+    monkeypatch.setattr(quoted_csv, "BROADCAST_SPLITS", 0)  # the states of very many splits are joined by a shuffle
+    monkeypatch.setattr(quoted_csv, "CSV_LIMIT", 3)
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("a,b\n" + "".join(f'{i},"{i}\n{k}"\n' for i in range(50)))
+    found = quoted_csv.read_quoted_csv(spark, str(tmp_path)).collect()
+    assert sorted((r["path"][-5], r["row_index"], r["cells"]["b"]) for r in found) == sorted((str(k), i, f"{i}\n{k}") for k in range(3) for i in range(50))
+
+
 def _tensors(spark, n=6):
     return spark.range(n * 5).select(F.concat(F.lit("s/ _"), (F.col("id") % n).cast("string")).alias("session"), F.col("id").alias("window_id"), *(F.col("id").alias(c) for c in ("start_us", "end_us", "center_us")), F.array(F.array(F.col("id") * 0.5, F.lit(1.0))).alias("tensor"))
 
