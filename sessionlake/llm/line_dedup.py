@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.llm.common import components, drop_staged, small, stage
@@ -20,6 +20,8 @@ MIN_WORDS, SIMILARITY = 5, 0.8
 SHORT_WORD, VOTERS, SKETCH, RUNS = 6, 32, 4, 12
 #: Positions and keys that may be broadcast, some 24 bytes each.
 BROADCAST_ROWS = 500_000
+#: Copies of a line above which one row stands for all of them; a table of such lines has less than a thousandth of all rows.
+OFTEN = 1000
 #: Words above which edit similarity is that of the sequences of words, not of characters, and the values that stand for words.
 WORDWISE, CODES = 48, 127
 #: Longs whose bits stand for the words of a line.
@@ -149,8 +151,10 @@ def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
     half = F.lit((1 << HALF) - 1).cast("long")
     halves = [F.shiftrightunsigned("sim", HALF * k).bitwiseAND(half) + F.lit(k << HALF) for k in (0, 1)]
     rows = lines.select("id", "length", F.explode(F.concat(F.array("k0", "k1", "k2", "k3", *halves), "runs")).alias("key")).filter("key is not null")
-    shared = stage(rows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last").drop("last"), "shared-keys")
-    live = stage(rows.join(small(shared, BROADCAST_ROWS), "key").dropDuplicates(["key", "id"]), "live-lines")
+    # all keys are dealt once: which are shared is told where they meet
+    of_key = Window.partitionBy("key")
+    met = rows.withColumns({"first": F.min("id").over(of_key), "last": F.max("id").over(of_key)})
+    live = stage(met.filter("first <> last").drop("last").dropDuplicates(["key", "id"]), "live-lines")
     ends = live.filter("id = first").select(F.col("id").alias("a"), F.col("length").alias("na")).distinct()
     stars = live.select(F.col("first").alias("a"), F.col("id").alias("b"), F.col("length").alias("nb")).filter(F.col("a") != F.col("b")).distinct()
     first = stage(stars.join(ends, "a").filter(near).select("a", "b"), "line-pairs")
@@ -164,7 +168,7 @@ def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
     one, two = (marked.select("key", *(F.col(c).alias(to + k) for c, to in names.items()), *(F.col(f"m{i}").alias(f"m{k}{i}") for i in range(MARKS))) for k in "ab")
     more = two.join(one, "key").filter((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near & may_link(similarity)).select("a", "b", "ga", "gb").distinct()
     more = stage(more.join(first, ["a", "b"], "left_anti"), "line-pairs")
-    drop_staged(shared, live, mixed, rest, marked)
+    drop_staged(live, mixed, rest, marked)
     if more.isEmpty():
         return groups
     joined = verified(more, texts, similarity).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
@@ -173,6 +177,15 @@ def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
     return stage(groups.join(joined, "component", "left").select("id", F.coalesce("joined", "component").alias("component")).union(alone).distinct(), "line-groups")
 
 
+def thinned(seen: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of seen, of lines that occur more than OFTEN times only one each, so that no key gathers their copies."""
+    often = stage(lines.filter(F.col("times") > OFTEN).select("id"), "lines-often")
+    if often.isEmpty():
+        return seen
+    rows = seen.select("id", "sim", "length", "k0", "k1", "k2", "k3", "runs")
+    return rows.join(F.broadcast(often), "id", "left_anti").union(rows.join(F.broadcast(often), "id", "left_semi").dropDuplicates(["id"]))
+
+
 def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, key (xxhash64 of the text) and gone, the positions of lines that repeat an earlier one; staged."""
     seen = occurrences(docs)
@@ -181,7 +194,7 @@ def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     def texts(wanted: DataFrame) -> DataFrame:
         return seen.select("id", "line").join(small(stage(wanted, "wanted"), BROADCAST_ROWS), "id", "left_semi").dropDuplicates(["id"])
 
-    groups = fuzzy_groups(seen, texts, similarity).withColumnRenamed("component", "group")
+    groups = fuzzy_groups(thinned(seen, lines), texts, similarity).withColumnRenamed("component", "group")
     repeated = lines.select("id", "times").join(groups, "id", "left").filter("times > 1 or group is not null")
     repeated = stage(repeated.select("id", F.coalesce("group", "id").alias("group")), "repeated")
     places = stage(seen.select("id", "doc_id", "key", "pos").join(small(repeated, BROADCAST_ROWS), "id").drop("id"), "places")

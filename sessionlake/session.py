@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def ensure_importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package; on a cluster it is submitted with --py-files instead."""
@@ -35,9 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """Write df as Parquet to the shared folder and read it again: cuts the lineage and survives lost executors.
+
+    What was shuffled for it is deleted at once, as only the table is read from then on.
+    """
+    path, conf, before = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}", df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP)
+    conf.set(CLEANUP, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
