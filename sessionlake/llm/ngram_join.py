@@ -227,8 +227,12 @@ def opened(pairs: DataFrame, asking: DataFrame, tiles: DataFrame, percent: int)
             out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x.astype("<i4").tobytes() for x in found], pa.binary())], [*place, "queries"])
             yield out.filter(pa.array([len(x) > 0 for x in found], pa.bool_()))
 
-    bounds = pairs.join(asking.select(*a, "sizes", "short"), ["a", "ta"]).join(tiles.select(*b, "union"), ["b", "tb"]).select(*place, "sizes", "short", "union")
+    pairs = small(stage(pairs, "tile-pairs"), BROADCAST_ROWS)
+    met = small(stage(pairs.select("b", "tb").distinct(), "tiles-met"), BROADCAST_ROWS)  # so that tiles without a pair aren't shuffled
+    unions = tiles.select(*b, "union").join(met, ["b", "tb"], "left_semi")
+    bounds = asking.select(*a, "sizes", "short").join(pairs, ["a", "ta"]).join(unions, ["b", "tb"]).select(*place, "sizes", "short", "union")
     wanted = stage(bounds.mapInArrow(bound, "a long, ta long, b long, tb long, queries binary"), "opened")
+    met = small(stage(wanted.select("b", "tb").distinct(), "tiles-met"), BROADCAST_ROWS)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
@@ -241,7 +245,7 @@ def opened(pairs: DataFrame, asking: DataFrame, tiles: DataFrame, percent: int)
 
     one = asking.select(*a, *(F.col(c).alias(f"{c}_a") for c in ("ids", "sizes", "tokens")))
     two = tiles.select(*b, *(F.col(c).alias(f"{c}_b") for c in ("ids", "sizes", "tokens")))
-    both = wanted.join(one, ["a", "ta"]).join(two, ["b", "tb"])
+    both = one.join(small(wanted, BROADCAST_ROWS // 10), ["a", "ta"]).join(two.join(met, ["b", "tb"], "left_semi"), ["b", "tb"])
     return both.select("queries", *(f"{c}_{s}" for s in "ab" for c in ("ids", "sizes", "tokens"))).mapInArrow(compare, "a long, b long")
 
 
@@ -301,8 +305,10 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
         pairs = pairs.join(sizes.select(F.col("group").alias("a"), F.col("tiles").alias("na")), "a").join(sizes.select(F.col("group").alias("b"), F.col("tiles").alias("nb")), "b").filter("na > 1 or nb > 1")
         alike, unlike = pairs.filter("ma = mb"), pairs.filter("ma <> mb")
         asks = large.select(F.col("group").alias("a"), F.col("group").alias("b")).union(alike.select("a", "b")).union(alike.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        others = state.join(main, "group").filter("component <> main").select("group", "set_id").join(asks.select(F.col("a").alias("group")).distinct(), "group", "left_semi")
-        asking = tiled(others.withColumnRenamed("set_id", "_set").join(_unpacked(tiles), ["group", "_set"]).select("group", "tile", F.col("_set").alias("set_id"), "tokens"))
+        others = state.join(main, "group").filter("component <> main").select("group", F.col("set_id").alias("_set")).join(asks.select(F.col("a").alias("group")).distinct(), "group", "left_semi")
+        others = stage(others, "others")
+        held_by = small(stage(others.select("group").distinct(), "groups-of-others"), broadcast_rows)
+        asking = tiled(_unpacked(tiles.join(held_by, "group", "left_semi")).join(small(others, broadcast_rows), ["group", "_set"]).select("group", "tile", F.col("_set").alias("set_id"), "tokens"))
         by_b = numbers.select(F.col("group").alias("b"), F.col("tile").alias("tb"))
         of_others = asks.join(asking.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").select("a", "ta", "b", "tb")
         of_all = unlike.join(numbers.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").filter("ta > 0 or tb > 0").select("a", "ta", "b", "tb")

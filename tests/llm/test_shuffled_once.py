@@ -1,4 +1,4 @@
-"""Staged tables leave no shuffle files behind, and keys of lines are dealt once."""
+"""Staged tables leave no shuffle files behind, keys of lines are dealt once, and tiles without a pair stay where they are."""
 
 import re
 import time
@@ -66,3 +66,16 @@ def test_copies_of_a_line_stand_once_and_change_nothing(spark, monkeypatch):
     assert left == {r["id"]: r["times"] if r["times"] <= 2 else 1 for r in times.collect()}
     got = line_dedup.dedup_lines(docs)
     assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.collect())
+
+
+def test_tiles_are_joined_to_few_pairs_where_they_are(spark, plans):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        base = [[f"w{(k // 4) * 50 + i}" for i in range(50)] for k in range(40)]
+        rows = [(k, " ".join(w if i != k % 4 * 12 else "other" for i, w in enumerate(base[k]))) for k in range(40)]
+        ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), width=1, percent=80, tile_rows=2).count()
+    finally:
+        spark.conf.set(name, before)
+    assert plans["opened"] and not any(re.search(r"hashpartitioning\(a#\d+L, ta#\d+L", p) for p in plans["opened"])
