@@ -41,7 +41,7 @@ def token_bytes(ranks: str) -> list[bytes | None]:
 
 
 class PieceEncoder:
-    """Encodes pre-tokens one by one with the ranks of a public vocabulary; remembers frequent ones."""
+    """Encodes texts, or their pre-tokens one by one, with the ranks of a public vocabulary; remembers frequent pre-tokens."""
 
     def __init__(self, ranks: str, pattern: str):
         import regex
@@ -66,6 +66,14 @@ class PieceEncoder:
         except KeyError:
             return list(chain.from_iterable([seen[p] if p in seen else self._new(p) for p in pieces]))
 
+    def encode_first(self, text: str, n: int) -> list[int]:
+        """Of the pre-tokens of text that start before n; tiktoken finds those of a whole text up to CHUNK characters, for which its matching has the stack."""
+        if n == len(text) <= CHUNK:
+            return self.bpe.encode_ordinary(text)
+        if n == len(text):
+            return self.encode(self.match.findall(text))
+        return self.encode([m[0] for m in takewhile(lambda m: m.start() < n, self.match.finditer(text))])
+
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
 
@@ -127,8 +135,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
         for batch in slices(batches):
             ids = []
             for n, text in zip(batch.column("n").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                pieces = enc.match.findall(text) if n == len(text) else [m[0] for m in takewhile(lambda m, n=n: m.start() < n, enc.match.finditer(text))]
-                ids.append(np.array(enc.encode(pieces), "<u4"))
+                ids.append(np.array(enc.encode_first(text, n), "<u4"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), batch.column("part"), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc_id", "key", "part", "n_tokens", "ids"])
 
     schema = "doc_id long, key long, part int, n_tokens long, ids binary"
@@ -168,8 +175,9 @@ def digests(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     path = ranks or default_ranks()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decimal = list(map(str, range(len(token_bytes(path))))).__getitem__
         for batch in with_decoded(batches, path):
-            ids = [hashlib.sha256(" ".join(map(str, np.frombuffer(x, "<u4").tolist())).encode()).hexdigest() for x in batch.column("ids").to_pylist()]
+            ids = [hashlib.sha256(" ".join(map(decimal, np.frombuffer(x, "<u4").tolist())).encode()).hexdigest() for x in batch.column("ids").to_pylist()]
             raw = [hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(ids, pa.string()), pa.array(raw, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
