@@ -15,6 +15,10 @@ REMEMBERED_CHARS, REMEMBERED_WORDS, RECENT_WORDS = 48, 400_000, 100_000
 #: The pre-tokens of the word tokenizer in lowered Latin-1 text, with Latin-1's letters and numerals.
 LATIN_PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The characters that stand for the bytes of a text in a byte-level vocabulary, and Latin-1's UTF-8 bytes in them.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+LATIN_BYTES = {c: "".join(BYTE_CHARS[b] for b in chr(c).encode()) for c in range(256)}
 
 
 def default_tokenizer() -> str:
@@ -28,8 +32,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so a text is encoded space by space and line by line;
     a Latin-1 text pre-token by pre-token where the tokenizer lowers and splits as LATIN_PATTERN does. Frequent words
-    are remembered; new ones are encoded together, a special token between them. The result is that of encoding the
-    text at once.
+    are remembered; new pre-tokens go to the tokenizer's model as they are, other new words are encoded together, a
+    special token between them. The result is that of encoding the text at once.
     """
 
     def __init__(self, path: str):
@@ -42,8 +46,11 @@ class WordEncoder:
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         spec = json.loads(self.tokenizer.to_str())
         kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
-        splits = [x.get("pattern", {}).get("Regex") for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        splits = [x.get("pattern", {}).get("Regex") for x in steps if x["type"] == "Split"]
         self.latin = kinds == ["NFC", "Replace", "Lowercase"] and splits == [LATIN_PATTERN]
+        after = [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in steps[1:]]
+        self.model = self.tokenizer.model if self.latin and after == [("ByteLevel", False, False)] else None
         self.known: dict[str, bytes] = {"": b""}
         self.recent: dict[str, bytes] = {}
 
@@ -59,14 +66,21 @@ class WordEncoder:
         raw = ids.tobytes()
         return {w: raw[4 * a : 4 * b] for w, a, b in zip(words, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True)}
 
+    def _new_latin(self, words: list[str]) -> dict[str, bytes]:
+        """Of LATIN_PRE_TOKENS: normalising and splitting would leave them as they are."""
+        if self.model is None:
+            return self._new(words)
+        tokens = self.model.tokenize
+        return {w: np.array([t.id for t in tokens(w.translate(LATIN_BYTES))], "<u4").tobytes() for w in words}
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = None
+        words, unseen = None, self._new
         if self.latin and not any(m in text for m in self.marks):
             try:
                 text.encode("latin-1")
-                words = LATIN_PRE_TOKENS.findall(text.lower())
+                words, unseen = LATIN_PRE_TOKENS.findall(text.lower()), self._new_latin
             except UnicodeEncodeError:
                 pass
         if words is None:
@@ -77,7 +91,7 @@ class WordEncoder:
             missing = [k for k, x in enumerate(out) if x is None]
             seen = {words[k] for k in missing}
             unknown = [w for w in seen if w not in recent]
-            new = self._new(unknown) if unknown else {}
+            new = unseen(unknown) if unknown else {}
             for k in missing:
                 w = words[k]
                 out[k] = new[w] if w in new else recent[w]
