@@ -42,15 +42,25 @@ def features(text: str) -> np.ndarray:
     return x / max(np.sqrt((x * x).sum()), np.float32(1e-9))
 
 
+def with_ones(vectors: list[bytes]) -> np.ndarray:
+    """Vectors of floats as rows in doubles, and a one after each."""
+    x = np.ones((len(vectors), BUCKETS + 1))
+    for row, raw in zip(x, vectors, strict=True):
+        row[:-1] = np.frombuffer(raw, np.float32)
+    return x
+
+
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> np.ndarray:
-    """Weights and bias of a linear support vector machine, squared hinge, classes weighed alike; y is +1 or -1."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], 1).astype("f8")
+    """Weights and bias of a linear support vector machine, squared hinge, classes weighed alike; y is +1 or -1.
+
+    x: rows in doubles that end with a one, for the bias (see with_ones). No further array of its size is made.
+    """
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     w, at = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    step = 1 / (2 * (share[:, None] * x * x).sum() + penalty)
+    step = 1 / (2 * share @ np.einsum("ij,ij->i", x, x) + penalty)
     for k in range(rounds):  # Nesterov's accelerated gradient
         slack = np.maximum(0, 1 - y * (x @ at))
-        new = at - step * (penalty * at - 2 * x.T @ (share * y * slack))
+        new = at - step * (penalty * at - x.T @ (2 * share * y * slack))
         at = new + k / (k + 3) * (new - w)
         w = new
     return w
@@ -89,12 +99,13 @@ class Model:
 
 
 def train(x: np.ndarray, langs: list[str]) -> Model:
+    """The machines of all languages; x as svm() takes it."""
     known = {code: family for family, codes in FAMILIES.items() for code in codes}
     by: dict[str, list[str]] = {}
     for lang in sorted(set(langs)):
         by.setdefault(known.get(lang, lang), []).append(lang)
     families, y = list(by.values()), np.array(langs)
-    family_w = [svm(x, np.where(np.isin(y, names), 1.0, -1.0)) if len(families) > 1 else np.append(np.zeros(x.shape[1]), 1.0) for names in families]
+    family_w = [svm(x, np.where(np.isin(y, names), 1.0, -1.0)) if len(families) > 1 else np.append(np.zeros(x.shape[1] - 1), 1.0) for names in families]
     pairs = {}
     for names in families:
         for i, a in enumerate(names):
@@ -123,8 +134,10 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Mod
     got = rows.filter("_text rlike '\\\\p{L}'").mapInArrow(_vectors, "label string, x binary").collect()
     if not got:
         return Model([], np.empty((0, BUCKETS + 1)), {})
-    order_by = sorted(got, key=lambda r: (r["label"], bytes(r["x"])))
-    return train(np.array([np.frombuffer(r["x"], np.float32) for r in order_by]), [r["label"] for r in order_by])
+    got.sort(key=lambda r: (r["label"], r["x"]))
+    x, langs = with_ones([r["x"] for r in got]), [r["label"] for r in got]
+    del got
+    return train(x, langs)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

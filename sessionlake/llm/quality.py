@@ -83,7 +83,10 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, pairs: int = PAIRS)
     draw = np.random.default_rng(7)
     a, b = draw.choice(good, pairs), draw.choice(bad, pairs)
     sign = np.where(draw.random(pairs) < 0.5, 1.0, -1.0)
-    w = logistic((z[a] - z[b]) * sign[:, None], (sign > 0).astype("f8"), 3e-3)
+    apart = z[a]
+    apart -= z[b]
+    apart *= sign[:, None]
+    w = logistic(apart, (sign > 0).astype("f8"), 3e-3)
     s = z @ w
     line = np.zeros(2)
     design = np.stack([s, np.ones(len(s))], 1)
