@@ -1,15 +1,17 @@
 """Streams whose rows are put in event-time order before they are worked on: a strict clock and flushed batches.
 
-State lives in RocksDB (Spark asks for it here), so a key's rows that wait for the watermark need not fit in memory
-with all others. A row that comes later than the watermark's delay is dropped, as Spark does with late rows.
+State lives in RocksDB (Spark asks for it here), so rows that wait for the watermark need not fit in memory with all
+others, only those of a group of keys. A row that comes later than the watermark's delay is dropped, as Spark does with late rows.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -17,35 +19,64 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Groups that keys are dealt to; one call of a processor works on all keys of a group, whose waiting rows it holds in memory.
+GROUPS = 4096
+ROW = pa.schema([("key", pa.string()), ("at", pa.int64()), ("row_index", pa.int64()), ("t", pa.int64())])
+
+
+def packed(rows: pa.Table) -> bytes:
+    """A table as one value of state."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(value)).read_all()
+
+
 class InOrder(StatefulProcessor):
-    """Holds a key's rows until the watermark has passed them and then gives them to `step`, by time and row_index."""
+    """Holds rows until the watermark has passed them and then gives them to `step`, by time and row_index.
+
+    A call has a group of keys: state is read and written once for all of them, not key by key. What `step` keeps of a
+    key is a tuple of KEPT.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "at long, row_index long, t long")
+        self.held = handle.getListState("held", "rows binary")
+        self.kept = handle.getValueState("kept", "keys binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new, last = [], None
-        for batch in rows:
-            for at, i, t in zip(batch["at"], batch["row_index"], batch["t"], strict=True):
-                if not pd.isna(i):  # marks that only move the watermark
-                    new.append((int(at), int(i), int(t)))
-        if new:
-            self.held.appendList(new)
-            last = max(x[0] for x in new)
-            self.handle.registerTimer(last // 1000 + 1)
+        parts = [pa.Table.from_pandas(batch.loc[~batch["mark"], ROW.names], ROW, preserve_index=False) for batch in rows]
+        new = pa.concat_tables(parts) if parts else ROW.empty_table()
+        if new.num_rows:  # marks only move the watermark
+            self.held.appendValue((packed(new),))
+            self.handle.registerTimer(pc.max(new["at"]).as_py() // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.held.get()) if self.held.exists() else []
-        due = sorted(tuple(x) for x in held if x[0] < now)
-        if due:
-            rest = [tuple(x) for x in held if x[0] >= now]
-            self.held.put(rest) if rest else self.held.clear()
-        out = self.step(due, now)
+        held = pa.concat_tables([unpacked(x[0]) for x in self.held.get()]) if self.held.exists() else ROW.empty_table()
+        due = held.filter(pc.field("at") < now).sort_by([(c, "ascending") for c in ("at", "row_index", "t")])
+        if due.num_rows:
+            rest = held.filter(pc.field("at") >= now)
+            self.held.put([(packed(rest),)]) if rest.num_rows else self.held.clear()
+        before = self._kept()
+        kept = dict(before)
+        out = self.step(zip(*(due[c].to_pylist() for c in ROW.names), strict=True), now, kept)
+        if kept != before:
+            self.kept.update((packed(pa.table([pa.array(kept, pa.string()), *(pa.array(c, pa.int64()) for c in zip(*kept.values(), strict=True))], ["key", *self.KEPT])),)) if kept else self.kept.clear()
         if out:
-            yield pd.DataFrame([(key[0], *r) for r in out], columns=["key", *self.NAMES])
+            columns = zip(["key", *self.NAMES], zip(*out, strict=True), strict=True)
+            yield pd.DataFrame({name: pd.Series(values, dtype=object if name == "key" else "int64") for name, values in columns})
+
+    def _kept(self) -> dict[str | None, tuple]:
+        if not self.kept.exists():
+            return {}
+        key, *values = unpacked(self.kept.get()[0]).columns
+        return dict(zip(key.to_pylist(), zip(*(v.to_pylist() for v in values), strict=True), strict=True))
 
     def close(self) -> None:
         pass
@@ -54,64 +85,53 @@ class InOrder(StatefulProcessor):
 class StrictClock(InOrder):
     """t of each row, or the clock before plus one where t isn't above it."""
 
+    KEPT = ("clock",)
     NAMES = ("row_index", "clock")
     RESULT = "row_index long, clock long"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", "clock long")
-
-    def step(self, due: list[tuple[int, int, int]], now: int) -> list[tuple]:
-        if not due:
-            return []
-        clock, out = self.last.get()[0] if self.last.exists() else None, []
-        for _, i, t in due:
-            clock = t if clock is None else max(t, clock + 1)
-            out.append((i, clock))
-        self.last.update((clock,))
+    def step(self, due: Iterable[tuple], now: int, kept: dict[str | None, tuple]) -> list[tuple]:
+        out = []
+        for key, _, i, t in due:
+            clock = max(t, kept[key][0] + 1) if key in kept else t
+            kept[key] = (clock,)
+            out.append((key, i, clock))
         return out
 
 
 class Batches(InOrder):
     """Batches of at most `size` rows; one ends, too, once `idle_us` have passed since its last row."""
 
-    NAMES = ("start_us", "end_us", "n", "total")
+    KEPT = NAMES = ("start_us", "end_us", "n", "total")
     RESULT = "start_us long, end_us long, n long, total long"
 
     def __init__(self, size: int, idle_us: int):
         self.size, self.idle_us = size, idle_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.open = handle.getValueState("open", "start long, last long, n long, total long")
-
-    def step(self, due: list[tuple[int, int, int]], now: int) -> list[tuple]:
-        batch, out = tuple(self.open.get()) if self.open.exists() else None, []
-        for at, _, t in due:
+    def step(self, due: Iterable[tuple], now: int, kept: dict[str | None, tuple]) -> list[tuple]:
+        out = []
+        for key, at, _, t in due:
+            batch = kept.get(key)
             if batch and at - batch[1] >= self.idle_us:
-                out.append(batch)
+                out.append((key, *batch))
                 batch = None
-            batch = (batch[0], at, batch[2] + 1, batch[3] + t) if batch else (at, at, 1, t)
+            kept[key] = batch = (batch[0], at, batch[2] + 1, batch[3] + t) if batch else (at, at, 1, t)
             if batch[2] == self.size:
-                out.append(batch)
-                batch = None
-        if batch and now - batch[1] > self.idle_us:
-            out.append(batch)
-            batch = None
-        if batch:
-            self.open.update(batch)
-            self.handle.registerTimer((batch[1] + self.idle_us) // 1000 + 1)
-        elif self.open.exists():
-            self.open.clear()
+                out.append((key, *kept.pop(key)))
+        for key in [k for k, batch in kept.items() if now - batch[1] > self.idle_us]:
+            out.append((key, *kept.pop(key)))
+        if kept:
+            self.handle.registerTimer((min(batch[1] for batch in kept.values()) + self.idle_us) // 1000 + 1)
         return out
 
 
 def in_order(stream: DataFrame, key: str, processor: InOrder) -> DataFrame:
-    """The processor over a stream with event_time (watermarked), row_index and t, by key."""
-    kind = stream.schema[key].dataType.simpleString()
-    rows = stream.select(F.col(key).alias("key"), "event_time", F.unix_micros("event_time").alias("at"), F.col("row_index").cast("long").alias("row_index"), F.col("t").cast("long").alias("t"))
-    found = rows.groupBy("key").transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"key {kind}, {processor.RESULT}", outputMode="Append", timeMode="EventTime")
-    return found.withColumnRenamed("key", key)
+    """The processor over a stream with event_time (watermarked), row_index and t, by key, of a type that can be cast to a string and back."""
+    kind, mark = stream.schema[key].dataType, F.col("row_index").isNull()
+    longs = [F.when(mark, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in ("row_index", "t")]  # without nulls, which pandas would make doubles of
+    rows = stream.select(F.col(key).cast("string").alias("key"), "event_time", F.unix_micros("event_time").alias("at"), *longs, mark.alias("mark"))
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(GROUPS)))
+    found = rows.groupBy("group").transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"key string, {processor.RESULT}", outputMode="Append", timeMode="EventTime")
+    return found.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
 
 
 def strict_clock(stream: DataFrame, key: str) -> DataFrame:
