@@ -74,12 +74,12 @@ def signed(rows: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, key (hash of the text), pos, line (normalised), id (its 64-bit hash), length and signed() of the lines that take part; staged."""
+    """doc_id, key (hash of the text), pos, line (normalised), id (its 64-bit hash) and length of the lines that take part; staged."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split(normalised(F.col("text")), "\n")).alias("pos", "raw"))
     rows = rows.select("doc_id", "key", "pos", trimmed(F.col("raw")).alias("line"))
     head = F.substring_index("line", " ", MIN_WORDS - 1)  # ends before the last word that is asked for
     rows = rows.withColumn("length", F.length("line")).filter((F.octet_length(head) < F.octet_length("line")) | (F.col("length") >= MIN_CHARS))
-    return stage(signed(rows.withColumn("id", F.xxhash64("line"))), "line-occurrences")
+    return stage(rows.withColumn("id", F.xxhash64("line")), "line-occurrences")
 
 
 def word_codes(similar: DataFrame) -> DataFrame:
@@ -178,11 +178,11 @@ def fuzzy_groups(lines: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
 
 
 def thinned(seen: DataFrame, lines: DataFrame) -> DataFrame:
-    """The rows of seen, of lines that occur more than OFTEN times only one each, so that no key gathers their copies."""
+    """id, line and length of the rows of seen, of lines that occur more than OFTEN times only one each, so that no key gathers their copies."""
     often = stage(lines.filter(F.col("times") > OFTEN).select("id"), "lines-often")
+    rows = seen.select("id", "line", "length")
     if often.isEmpty():
-        return seen
-    rows = seen.select("id", "sim", "length", "k0", "k1", "k2", "k3", "runs")
+        return rows
     return rows.join(F.broadcast(often), "id", "left_anti").union(rows.join(F.broadcast(often), "id", "left_semi").dropDuplicates(["id"]))
 
 
@@ -194,7 +194,8 @@ def dropped_positions(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     def texts(wanted: DataFrame) -> DataFrame:
         return seen.select("id", "line").join(small(stage(wanted, "wanted"), BROADCAST_ROWS), "id", "left_semi").dropDuplicates(["id"])
 
-    groups = fuzzy_groups(thinned(seen, lines), texts, similarity).withColumnRenamed("component", "group")
+    # keys, some 18 longs a line, are made where they are dealt and never staged
+    groups = fuzzy_groups(signed(thinned(seen, lines)), texts, similarity).withColumnRenamed("component", "group")
     repeated = lines.select("id", "times").join(groups, "id", "left").filter("times > 1 or group is not null")
     repeated = stage(repeated.select("id", F.coalesce("group", "id").alias("group")), "repeated")
     places = stage(seen.select("id", "doc_id", "key", "pos").join(small(repeated, BROADCAST_ROWS), "id").drop("id"), "places")
