@@ -23,6 +23,8 @@ FEW_ELEMENTS, MANY = 6, 24
 HAD = 50_000
 #: Ways to part a set that has hardly any elements in some part.
 WAYS = 6
+#: Sets of one signature that are compared by their counts, all with all; those of a signature that more share stay without that.
+PAIRED = 1024
 
 
 @lru_cache
@@ -93,13 +95,53 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def counts_of(tokens: np.ndarray) -> bytes:
+    """How many tokens lie in each of equal ranges, one for some four tokens, 32 at least and a power of two; 255 stands for more, too."""
+    k = max(32, 1 << (len(tokens) // 4).bit_length())
+    return np.minimum(np.bincount((tokens >> np.uint64(65 - k.bit_length())).astype("i8"), minlength=k), 255).astype("u1").tobytes()
+
+
+def paired(sizes: np.ndarray, counts: list[bytes], percent: int) -> np.ndarray:
+    """Which of some sets may be similar to another of them.
+
+    What their counts differ by in all ranges is at most the number of elements that one of two sets has alone, which is
+    bounded for similar sets; so no similar pair is lost. Counts of more ranges are added up to those of fewer.
+    """
+    found, widths = np.zeros(len(sizes), bool), np.array([len(x) for x in counts])
+    for k in np.unique(widths):
+        rows = np.flatnonzero(widths >= k)
+        of = np.stack([np.minimum(np.frombuffer(counts[i], "u1").reshape(k, -1).sum(1, dtype="i4"), 255).astype("i2") for i in rows])
+        for at in np.flatnonzero((widths[rows] == k) & ~found[rows]):
+            near = (100 + percent) * np.abs(of - of[at]).sum(1) <= (100 - percent) * (sizes[rows] + sizes[rows[at]])
+            near[at] = False
+            found[rows[near]] = True
+            found[rows[at]] |= near.any()
+    return found
+
+
+def likely_sets(few: DataFrame, percent: int) -> DataFrame:
+    """set_id and sig of the sets (set_id, size, counts) of each sig that may be similar to another set of it."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            ids, sigs = [np.empty(0, "i8")], [np.empty(0, "i8")]
+            for sig, of in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                names, sizes, counts = of.values.flatten()
+                near = paired(sizes.to_numpy(), counts.to_pylist(), percent)
+                ids.append(names.to_numpy()[near])
+                sigs.append(np.full(near.sum(), sig, "i8"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(sigs))], ["set_id", "sig"])
+
+    return few.select("sig", "sets").mapInArrow(kept, "set_id long, sig long")
+
+
 def set_id(tokens: np.ndarray) -> int | None:
     """64-bit fingerprint of a set; None where it is empty."""
     return int(mix(mix(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))).view(np.int64)) if len(tokens) else None
 
 
 def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, set_id (fingerprint of the set; null where it is empty), sigs (its signatures; none for a set that its task has just had)."""
+    """doc_id, text_hash, n_shingles, counts (of tokens in ranges), set_id (fingerprint of the set; null where it is empty), sigs (its signatures; none for a set that its task has just had)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, had = shingler(width), set()
@@ -107,15 +149,15 @@ def sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             found = [make.shingles(text) for text in batch.column(2).to_pylist()]
             names, sigs = [set_id(x) for x in found], []
             for name, tokens in zip(names, found, strict=True):
-                sigs.append(np.empty(0, np.int64) if name in had else signatures(tokens, percent).view(np.int64))
+                sigs.append(np.empty(0, np.int64) if name in had else (signatures(tokens, percent) >> np.uint64(16)).view(np.int64))  # 48 bits: sets that share one by chance part by their counts
                 had.add(name)
             if len(had) > HAD:
                 had.clear()
             flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32()), pa.array(np.concatenate(sigs)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), pa.array(names, pa.int64()), flat], ["doc_id", "text_hash", "n_shingles", "set_id", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in found], pa.int64()), pa.array([counts_of(x) for x in found], pa.binary()), pa.array(names, pa.int64()), flat], ["doc_id", "text_hash", "n_shingles", "counts", "set_id", "sigs"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string"))
-    return rows.mapInArrow(hashed, "doc_id long, text_hash long, n_shingles long, set_id long, sigs array<long>")
+    return rows.mapInArrow(hashed, "doc_id long, text_hash long, n_shingles long, counts binary, set_id long, sigs array<long>")
 
 
 class Tile:
@@ -253,7 +295,8 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
     """(sets of all documents, components of set ids).
 
     1. Equal sets become one. A set's tokens, for looking up groups, are the signatures of its parts; a signature that
-       one set alone has is dropped at once.
+       one set alone has is dropped at once, and so are those of sets that are unlike all others that share one, by
+       their counts of tokens in ranges.
     2. A set joins the group of the signature that most sets share with it, so copies of a text fall together. Groups
        come in tiles, which store their sets and the union of their shingles.
     3. The token-group matrix: per signature the groups that hold it. Two groups that share none can't hold similar
@@ -263,13 +306,19 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
        with each other. Most sets of a large group are then connected; the second round compares only the others with
        all tiles. A task passes on only links that connect, never all pairs of a group.
     """
-    held = stage(sets(docs, width, percent), "sets")
-    each = held.filter("set_id is not null").select("set_id", F.explode("sigs").alias("sig"))
-    # all signatures are dealt once: which are shared, and by how many sets, is told where they meet
+    # documents and signatures are dealt together, so signatures, most of which no other set has, are never staged
     of_sig, of_set = Window.partitionBy("sig"), Window.partitionBy("set_id")
-    bounds = each.withColumns({"_least": F.min("set_id").over(of_sig), "_most": F.max("set_id").over(of_sig)})
-    shared = bounds.filter("_least <> _most").select("set_id", "sig").distinct().withColumn("n", F.count("*").over(of_sig))
-    live = stage(shared.select("set_id", "sig", F.max_by("sig", F.struct("n", "sig")).over(of_set).alias("group")), "signatures")
+    rows = sets(docs, width, percent).select("set_id", F.struct("doc_id", "text_hash", "n_shingles", "counts").alias("doc"), F.explode(F.array_prepend("sigs", F.lit(None).cast("long"))).alias("sig"))
+    rows = rows.select("set_id", F.coalesce("sig", F.xxhash64("doc.doc_id", "doc.text_hash")).alias("sig"), F.when(F.col("sig").isNull(), F.col("doc")).alias("doc"))
+    bounds = rows.withColumns({"_least": F.min("set_id").over(of_sig), "_most": F.max("set_id").over(of_sig)})
+    dealt = stage(bounds.filter("doc is not null or _least <> _most").drop("_least", "_most"), "sets")
+    held, n = dealt.filter("doc is not null").select("doc.*", "set_id"), F.count("*").over(of_sig)
+    shared = stage(dealt.filter("doc is null").select("set_id", "sig").distinct().withColumn("n", n), "shared")
+    # unlike sets share a signature by chance, the more sets there are, so only sets whose counts allow a link go on
+    of_each = held.filter("set_id is not null").groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("counts").alias("counts"))
+    few = shared.filter(F.col("n") <= PAIRED).join(of_each, "set_id").groupBy("sig").agg(F.collect_list(F.struct("set_id", "size", "counts")).alias("sets"))
+    likely = shared.filter(F.col("n") > PAIRED).select("set_id", "sig").union(likely_sets(few, percent))
+    live = stage(likely.withColumn("n", n).select("set_id", "sig", F.max_by("sig", F.struct("n", "sig")).over(of_set).alias("group")), "signatures")
     members = stage(live.select("set_id", "group").distinct(), "groups")
     matrix = live.select("sig", "group").distinct()
     left, right = matrix.select("sig", F.col("group").alias("a")), matrix.select("sig", F.col("group").alias("b"))
@@ -314,8 +363,8 @@ def link_sets(docs: DataFrame, width: int = 3, percent: int = 90, broadcast_rows
         of_all = unlike.join(numbers.select(F.col("group").alias("a"), F.col("tile").alias("ta")), "a").join(by_b, "b").filter("ta > 0 or tb > 0").select("a", "ta", "b", "tb")
         edges = edges.union(stage(opened(of_others, asking, tiles, percent).union(opened(of_all, tiles, tiles, percent)), "set-links"))
     found = components(edges)
-    drop_staged(live, members, met, first, sizes, wanted, tiles)
-    return held.drop("sigs"), found
+    drop_staged(shared, live, members, met, first, sizes, wanted, tiles)
+    return held, found
 
 
 def _unpacked(tiles: DataFrame) -> DataFrame:
