@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.functions import parse
 from sessionlake.operators import clean, episodes, rules, stats, trajectory
-from sessionlake.plans.registry import EV, events, query, r6, table
+from sessionlake.plans.registry import EV, events, query, r6, table, thousandths
 
 HOUR_US = 3_600_000_000
 #: Streams with faults put in: hours as times give duplicates, every 11th cell is empty.
@@ -39,7 +39,7 @@ CHECK_SQL = """l as (select *, (t - lag(t) over (partition by session order by a
     round(stddev_samp(ms), 3) as std_ms, round(min(ms), 3) as min_ms, round(max(ms), 3) as max_ms, round(1000 / avg(ms), 9) as mean_hz from k group by session""")
 def stream_timing_checker(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stats.timing_checker(events(spark, sf_dir), ["session"]).drop("gaps", "max_gap_ms", "near_duplicates")
-    return found.withColumns({c: F.round(c, 3) for c in ("mean_ms", "median_ms", "std_ms", "min_ms", "max_ms")}).withColumn("mean_hz", F.round("mean_hz", 9))
+    return found.withColumns({c: thousandths(F.col(c)) for c in ("mean_ms", "median_ms", "std_ms", "min_ms", "max_ms")}).withColumn("mean_hz", F.round("mean_hz", 9))
 
 
 @query(f"with {EV}, {CHECK_SQL} select session, (count(*) filter (ms > 2 * mean))::bigint as gaps, round(max(case when ms > 2 * mean then ms end), 3) as max_gap_ms from k group by session")

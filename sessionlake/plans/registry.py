@@ -51,3 +51,8 @@ def r6(df: DataFrame, *columns: str) -> DataFrame:
 
 def rounded(c: Column, places: int = 6) -> Column:
     return F.round(c, places)
+
+
+def thousandths(c: Column) -> Column:
+    """A double that isn't negative, rounded to thousandths as SQL rounds it: the whole number next to 1000 times the double, not to its shortest decimal text."""
+    return F.floor(c * 1000 + 0.5) / 1000
